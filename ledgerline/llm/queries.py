@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
+from .language import identify
 from .packing import pack
+from .quality import judge_quality
+from .urls import filter_urls
 
 
 def vocabulary(name: str) -> str:
@@ -15,9 +18,54 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("byte_bpe_50k.tiktoken"))
 
 
-QUERIES = {"op10_packing": op10_packing}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {
+    "op2_url_filters": op2_url_filters,
+    "op3_language_id": op3_language_id,
+    "op4_quality_rules": op4_quality_rules,
+    "op10_packing": op10_packing,
+}
+
+_URLS = r"""
+WITH rest AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages
+), parts AS (
+  SELECT page_id, r, regexp_extract(r, '^[^/?#]*') AS h FROM rest
+), urls AS (
+  SELECT page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(substr(r, length(h) + 1), '^[^?#]*') AS path FROM parts
+), rules(action, rule, rule_host, rule_path) AS (
+  VALUES ('block', 'com/en/', 'com', '/en/'), ('allow', 'example.com/en/7', 'example.com', '/en/7'), ('allow', 'net/de/', 'net', '/de/'),
+         ('block', 'example.net/de/8', 'example.net', '/de/8'), ('block', 'org/es/', 'org', '/es/')
+), judged AS (
+  SELECT u.page_id, u.host, u.path,
+         (SELECT arg_max(struct_pack(rule := x.rule, action := x.action), length(x.rule)) FROM rules x
+          WHERE (u.host = x.rule_host OR ends_with(u.host, '.' || x.rule_host)) AND starts_with(u.path, x.rule_path)) AS best,
+         translate(u.host || u.path, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS seen
+  FROM urls u
+)
+SELECT page_id, host, path, best.rule AS rule,
+       CASE WHEN best IS NOT NULL THEN best.action
+            WHEN regexp_matches(seen, '(^|[^a-z0-9])(casino-museum|poker-history)($|[^a-z0-9])') THEN 'allow'
+            WHEN regexp_matches(seen, '(^|[^a-z0-9])(casino|poker|viagra|free-pills|porn|xxx)($|[^a-z0-9])')
+              OR regexp_matches(seen, '(^|[^a-z0-9])adserver.*/click') OR strpos(seen, '/phpmyadmin/') > 0
+              OR regexp_matches(seen, '/wp-login\.php($|[^a-z0-9])') THEN 'block'
+            ELSE 'allow' END AS verdict
+FROM judged
+"""
+ORACLE_SQL: dict[str, str] = {"op2_url_filters": _URLS.strip()}
