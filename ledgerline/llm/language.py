@@ -28,11 +28,11 @@ from .segments import code_points
 
 SAMPLE_PER_LANGUAGE = 400
 MOST_LANGUAGES = 256
-BUCKETS = 1 << 14
+BUCKETS = 1 << 13
 UNDETERMINED = "und"
 #: A text is ambiguous if its winner's share is below this.
 CLEAR_SHARE = 0.6
-_STEPS, _SCALE = 60, 12.0
+_STEPS, _SCALE = 30, 12.0
 _classes: list[np.ndarray] = []
 
 
