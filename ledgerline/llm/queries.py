@@ -8,6 +8,7 @@ from ..session import table
 from .language import identify
 from .packing import pack
 from .quality import judge_quality
+from .secrets import scan
 from .urls import filter_urls
 
 
@@ -30,6 +31,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("byte_bpe_50k.tiktoken"))
 
@@ -38,6 +43,7 @@ QUERIES = {
     "op2_url_filters": op2_url_filters,
     "op3_language_id": op3_language_id,
     "op4_quality_rules": op4_quality_rules,
+    "op6_secret_scans": op6_secret_scans,
     "op10_packing": op10_packing,
 }
 
