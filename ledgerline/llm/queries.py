@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
 from .language import identify
+from .minhash import near_duplicates
 from .packing import pack
 from .quality import judge_quality
 from .secrets import scan
@@ -35,6 +36,10 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("byte_bpe_50k.tiktoken"))
 
@@ -44,6 +49,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_quality_rules": op4_quality_rules,
     "op6_secret_scans": op6_secret_scans,
+    "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op10_packing": op10_packing,
 }
 
