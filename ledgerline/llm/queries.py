@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
+from . import embeddings
 from .language import identify
 from .minhash import near_duplicates
 from .packing import pack
@@ -36,6 +37,10 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
 
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -49,6 +54,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_quality_rules": op4_quality_rules,
     "op6_secret_scans": op6_secret_scans,
+    "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op10_packing": op10_packing,
 }
