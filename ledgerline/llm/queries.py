@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
-from . import embeddings
+from . import embeddings, lm
 from .language import identify
 from .minhash import near_duplicates
 from .packing import pack
@@ -33,6 +33,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ QUERIES = {
     "op2_url_filters": op2_url_filters,
     "op3_language_id": op3_language_id,
     "op4_quality_rules": op4_quality_rules,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_secret_scans": op6_secret_scans,
     "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
