@@ -10,9 +10,14 @@ from .language import identify
 from .minhash import near_duplicates
 from .packing import pack
 from .quality import judge_quality
+from .pii import pseudonymise
 from .secrets import scan
+from .sentencepiece_bpe import digest
 from .urls import filter_urls
 
+#: The registered query's key; a user passes a key of their own.
+PSEUDONYM_KEY = b"an example key"
+
 
 def vocabulary(name: str) -> str:
     """Place of a public vocabulary file; the operators take such a path as a parameter."""
@@ -21,6 +26,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
@@ -49,11 +58,16 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymise(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("byte_bpe_50k.tiktoken"))
 
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_url_filters": op2_url_filters,
     "op3_language_id": op3_language_id,
     "op4_quality_rules": op4_quality_rules,
@@ -61,6 +75,7 @@ QUERIES = {
     "op6_secret_scans": op6_secret_scans,
     "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op9_pii": op9_pii,
     "op10_packing": op10_packing,
 }
 
