@@ -166,7 +166,7 @@ def test_language_model_edge_cases(odd):
 def test_filter_levels():
     keys, counts = np.arange(1, 5000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), np.arange(1, 5000)
     filled = lm.Filter([lm.make_slice(keys, counts, 1 << 24)])
-    assert (filled.levels(keys) >= lm.levels(counts)).all() and np.mean(filled.levels(keys) == lm.levels(counts)) > 0.9
+    assert (filled.levels(keys) >= lm.levels(counts)).all() and np.mean(filled.levels(keys) == lm.levels(counts)) > 0.85
     assert np.mean(filled.levels(keys + np.uint64(1)) > 0) < 0.1
     small = lm.make_slice(keys, counts, 1 << 12)
     assert 8 * len(small) <= 1 << 12
