@@ -271,6 +271,35 @@ def test_alignment():
         assert minhash.similar(a, b) == (m >= 0.8 * (len(a) + len(b) - m) - 1e-9)
 
 
+def test_star_of_edited_copies_is_one_class(spark):
+    draw = np.random.default_rng(8)
+    centre = [f"w{i}" for i in draw.integers(0, 10**6, 204)]
+    texts = [" ".join(centre)]
+    for i in range(1000):
+        own = list(centre)
+        for k in draw.choice(39, 4, replace=False):
+            own[5 * k + 5] = f"e{i}x{k}"
+        texts.append(" ".join(own))
+    value, bounds = minhash.items(texts)
+    own = [value[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+    assert all(minhash.similar(own[0], x) for x in own[1:]) and not minhash.similar(own[1], own[2])
+    order = draw.permutation(len(texts)).tolist()
+    rows = minhash.near_duplicates(spark.createDataFrame([(i, texts[k]) for i, k in enumerate(order)], "doc_id long, text string").repartition(8), block=100).collect()
+    assert {r.class_id for r in rows} == {0} and sum(r.kept for r in rows) == 1
+
+
+def test_bitmaps_rule_no_link_out():
+    draw = np.random.default_rng(9)
+    own = []
+    for _ in range(60):
+        a = draw.integers(0, draw.choice([5, 10**6]), draw.integers(1, 300)).astype(np.uint32)
+        own += [a, np.delete(a, draw.integers(0, len(a), len(a) // 8)), np.insert(a, draw.integers(0, len(a), len(a) // 6), 7)]
+    a, b, _ = minhash.possible(np.array([len(x) for x in own]), [minhash.bitmap(x) for x in own], np.arange(len(own)), np.full(len(own), 2))
+    held = {(min(x), max(x)) for x in zip(a.tolist(), b.tolist())}
+    links = {(i, k) for i in range(len(own)) for k in range(i + 1, len(own)) if minhash.similar(own[i], own[k])}
+    assert links <= held
+
+
 def test_dedup_edge_cases(spark):
     rows = [(1, None), (2, None), (3, ""), (4, ""), (5, "a b"), (6, "a  b"), (None, "a b"), (None, None), (None, "zz top"), (8, "q w e r t y u i o p"), (9, "q w e r t y u i o"), (10, "these rows repeat here"), (10, "these rows repeat here")]
     source = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, u int")
