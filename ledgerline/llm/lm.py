@@ -5,14 +5,14 @@ Counts of single words and of pairs of neighbours come from all training documen
 probe fails. A text's score adds log10(PAIR * pair / first + (1 - PAIR) * word), with the counts that the levels stand
 for; pair / first is at most 1.
 
-The filter is made in slices, one for each shard of hashed n-grams, all of a bounded size: ``MOST_BITS`` in sum, so that
-it can be sent to every worker. A shard whose n-grams need more than its part leaves out those below the smallest
-count with which it fits (their level reads 0, and the score leans on the word counts); no shard does while the bound
-holds all. The base score, ``n_known`` and ``train_tokens`` use exact counts and no filter.
+The filter is made in slices, one for each shard of hashed n-grams, each sized for all its shard's n-grams: it grows with
+the text, and a slice is only held by the task of its shard, which reads the levels back. The base score, ``n_known``
+and ``train_tokens`` use exact counts and no filter.
 
 Each task cuts its documents into blocks of bounded text. A block's distinct words and pairs go to the shards, the
-shards send the words' exact counts back, and the block meets its documents again. Documents must come in the same
-order whenever they are read (a scan or a checkpoint does); a block that misses a word raises an error.
+shards send the words' exact counts and all levels back in the order of the keys, and the block meets its documents
+again. Documents must come in the same order whenever they are read (a scan or a checkpoint does); a block whose keys
+have another sum raises an error.
 
 Defined results: a null text is empty: its end token alone; a null id counts as a training document; equal rows are
 scored once each; no training tokens: the base score is that of V = 0 (log10 of 1 for each token); an empty table gives
@@ -38,7 +38,6 @@ BLOCK_CHARS = 12_000_000
 CHARS_AT_ONCE = 1_000_000
 #: Distinct pairs in a shard, about; shards at least.
 SHARD_CHARS, FEWEST_SHARDS = 12_000_000, 8
-MOST_BITS = 1 << 29
 BITS_PER_ENTRY, PROBES = 8, 4
 PAIR = 0.6
 END, START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
@@ -89,11 +88,11 @@ def _bits(keys: np.ndarray, level: np.ndarray | int, size: int) -> list[np.ndarr
     return [(a + np.uint64(i) * b) % np.uint64(size) for i in range(PROBES)]
 
 
-def make_slice(keys: np.ndarray, counts: np.ndarray, most_bits: int) -> bytes:
-    """A shard's slice: of all n-grams, or of those with the smallest least count that fits."""
+def make_slice(keys: np.ndarray, counts: np.ndarray, most_bits: int | None = None) -> bytes:
+    """A slice of all n-grams; with ``most_bits``, of those with the smallest least count that fits (not in ``score``)."""
     level = levels(counts)
     least = 1
-    while level[counts >= least].sum() * BITS_PER_ENTRY > most_bits:
+    while most_bits is not None and level[counts >= least].sum() * BITS_PER_ENTRY > most_bits:
         least += 1
     keys, level = keys[counts >= least], level[counts >= least]
     size = max(64, int(level.sum()) * BITS_PER_ENTRY // 8 * 8)
@@ -105,7 +104,7 @@ def make_slice(keys: np.ndarray, counts: np.ndarray, most_bits: int) -> bytes:
 
 
 class Filter:
-    """All slices; small by ``MOST_BITS``, and sent to every worker."""
+    """Slices, and the levels read back from them."""
 
     def __init__(self, parts: list[bytes]):
         self.parts = parts
@@ -157,6 +156,15 @@ def _split(keys: np.ndarray, counts: np.ndarray, shards: int) -> tuple[np.ndarra
     return keys[order], counts[order], np.searchsorted(shard[order], np.arange(shards + 1, dtype=np.uint64))
 
 
+def _pack(level: np.ndarray) -> bytes:
+    return zlib.compress(level.astype(np.uint8).tobytes(), 1)
+
+
+def _check(words_: np.ndarray, pairs: np.ndarray) -> int:
+    """A sum that tells a block's keys of one shard from others."""
+    return int(np.add.reduce(mix(words_.astype(np.uint64))) ^ np.add.reduce(mix(pairs.astype(np.uint64) + _GOLDEN))) >> 1
+
+
 class _Counter:
     """Counts of one block. Pairs of the shard are told apart by 32 further bits of their hash."""
 
@@ -168,8 +176,8 @@ class _Counter:
         training = np.repeat(np.fromiter(map(is_training, ids), bool, len(ids)), np.diff(bounds))
         starts = int(sum(map(is_training, ids)))
         self.words.append(_sum_by_key([(np.append(token, START), np.append(training.astype(np.int64), starts))]))
-        pair = pair_hash(firsts(token, bounds), token)[training]
-        self.pairs.append(np.unique(pair, return_counts=True))
+        pair = pair_hash(firsts(token, bounds), token)
+        self.pairs.append(_sum_by_key([(pair, training.astype(np.int64))]))
 
     def rows(self, shards: int) -> pa.RecordBatch:
         words_, counts, at = _split(*_sum_by_key(self.words), shards)
@@ -187,8 +195,8 @@ def _pair_key(short: np.ndarray, shard: np.ndarray | int, shards: int) -> np.nda
     return short.astype(np.uint64) * np.uint64(shards) + np.asarray(shard, np.uint64)
 
 
-def _gather(docs: DataFrame, shards: int, block_chars: int, most_bits: int) -> DataFrame:
-    """For each shard: a row with its slice and sums, and a row for each block with the exact counts of its words."""
+def _gather(docs: DataFrame, shards: int, block_chars: int) -> DataFrame:
+    """For each shard: a row with its sums, and a row for each block with its words' exact counts and all levels."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = None
@@ -205,32 +213,30 @@ def _gather(docs: DataFrame, shards: int, block_chars: int, most_bits: int) -> D
 
     def merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         shard = int(key[0])
-        own, own_counts = _read(rows["words"], "<u8"), _read(rows["counts"], "<u4")
+        own, own_counts, own_pairs = _read(rows["words"], "<u8"), _read(rows["counts"], "<u4"), _read(rows["pairs"], "<u4")
         keys, counts = _sum_by_key(list(zip(own, own_counts)))
-        pairs, pair_counts = _sum_by_key(list(zip(_read(rows["pairs"], "<u4"), _read(rows["pair_counts"], "<u4"))))
+        pairs, pair_counts = _sum_by_key(list(zip(own_pairs, _read(rows["pair_counts"], "<u4"))))
         seen = (counts > 0) & (keys != START)
-        all_keys = np.concatenate([keys[counts > 0], _pair_key(pairs, shard, shards)])
-        part = make_slice(all_keys, np.concatenate([counts[counts > 0], pair_counts]), most_bits // shards)
-        back = [counts[np.searchsorted(keys, k)].astype("<u8").tobytes() for k in own]
-        out = pd.DataFrame({"shard": shard, "block": rows["block"], "words": rows["words"], "counts": back, "part": None, "n": 0, "v": 0})
-        head = pd.DataFrame([{"shard": shard, "block": None, "words": None, "counts": None, "part": part, "n": int(counts[seen].sum()), "v": int(seen.sum())}])
+        pair_keys = _pair_key(pairs, shard, shards)
+        held = Filter([make_slice(np.concatenate([keys[counts > 0], pair_keys[pair_counts > 0]]), np.concatenate([counts[counts > 0], pair_counts[pair_counts > 0]]))])
+        level, pair_level = held.levels(keys), held.levels(pair_keys)
+        at = [np.searchsorted(keys, k) for k in own]
+        out = pd.DataFrame({"shard": shard, "block": rows["block"], "counts": [counts[i].astype("<u8").tobytes() for i in at], "levels": [_pack(level[i]) for i in at], "pair_levels": [_pack(pair_level[np.searchsorted(pairs, k)]) for k in own_pairs], "check": [_check(k, p) for k, p in zip(own, own_pairs)], "n": 0, "v": 0})
+        head = pd.DataFrame([{"shard": shard, "block": None, "counts": None, "levels": None, "pair_levels": None, "check": 0, "n": int(counts[seen].sum()), "v": int(seen.sum())}])
         return pd.concat([head, out]).astype({"block": "Int64"})
 
     counted = docs.mapInArrow(count, "shard long, block long, words binary, counts binary, pairs binary, pair_counts binary")
-    return counted.groupBy("shard").applyInPandas(merge, "shard long, block long, words binary, counts binary, part binary, n long, v long")
+    return counted.groupBy("shard").applyInPandas(merge, "shard long, block long, counts binary, levels binary, pair_levels binary, check long, n long, v long")
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS, most_bits: int = MOST_BITS) -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per document: held_out, n_tokens, n_known, train_tokens, base_score and score."""
-    spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     chars = source.agg(F.sum(F.length("text"))).first()[0] or 0
     shards = max(FEWEST_SHARDS, -(-chars // SHARD_CHARS))
-    gathered = cut_lineage(_gather(source, shards, block_chars, most_bits))
-    heads = sorted(gathered.filter("block is null").select("shard", "part", "n", "v").collect())  # MOST_BITS in sum
-    by_shard = {r.shard: r.part for r in heads}
-    n_train, n_words = sum(r.n for r in heads), sum(r.v for r in heads)
-    shared = spark.sparkContext.broadcast(Filter([bytes(by_shard.get(i) or bytes(8)) for i in range(shards)]))
+    gathered = cut_lineage(_gather(source, shards, block_chars))
+    sums = gathered.filter("block is null").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
+    n_train, n_words = int(sums[0]), int(sums[1])
     blank = np.log10(n_train + 0.5 * (n_words + 1))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,26 +244,36 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(batch.num_rows, block))], ["id", "text", "block"])
 
     def judge(key: tuple, rows: pa.Table, counts: pa.Table) -> pa.Table:
-        known = np.concatenate([np.zeros(0, np.uint64), *_read([x.as_py() for x in counts.column("words")], "<u8")])
-        order = np.argsort(known)
-        known, exact = known[order], np.concatenate([np.zeros(0, np.uint64), *_read([x.as_py() for x in counts.column("counts")], "<u8")])[order].astype(np.float64)
-        held = level_counts(shared.value.levels(known))
-        base = np.log10(exact + 0.5) - blank
         ids, texts = rows.column("id").to_pylist(), rows.column("text")
+        parts = list(slices([len(t.as_py() or "") for t in texts], CHARS_AT_ONCE))
+        found = [tokens(texts.slice(a, b - a).to_pylist()) for a, b in parts]
+        known = np.unique(np.concatenate([np.array([START]), *(np.unique(token) for token, _ in found)]))
+        pairs = np.unique(np.concatenate([np.zeros(0, np.uint64), *(np.unique(pair_hash(firsts(*x), x[0])) for x in found)]))
+        by_shard, order, at_ = _split(known, np.arange(len(known)), shards)
+        pairs_by_shard, pair_order, pair_at = _split(pairs, np.arange(len(pairs)), shards)
+        answer = counts.sort_by("shard")
+        exact, held, pair_held = np.zeros(len(known)), np.zeros(len(known)), np.zeros(len(pairs))
+        column = {n: answer.column(n).to_pylist() for n in answer.column_names}
+        ok = column["shard"] == list(range(shards)) if len(ids) else True
+        for i in range(shards if ok and len(ids) else 0):
+            x, y, p, q = at_[i], at_[i + 1], pair_at[i], pair_at[i + 1]
+            ok &= _check(by_shard[x:y], (pairs_by_shard[p:q] // np.uint64(shards)).astype("<u4")) == column["check"][i]
+            if ok:
+                exact[order[x:y]] = np.frombuffer(column["counts"][i], "<u8")
+                held[order[x:y]] = np.frombuffer(zlib.decompress(column["levels"][i]), np.uint8)
+                pair_held[pair_order[p:q]] = np.frombuffer(zlib.decompress(column["pair_levels"][i]), np.uint8)
+        if not ok:
+            raise RuntimeError("documents came in another order when they were read again; checkpoint them first")
+        held, pair_held = level_counts(held), level_counts(pair_held)
+        base = np.log10(exact + 0.5) - blank
         out = [[] for _ in range(4)]
-        for a, b in slices(np.diff(np.concatenate([[0], np.cumsum([len(t.as_py() or "") for t in texts])])).tolist(), CHARS_AT_ONCE):
-            token, bounds = tokens(texts.slice(a, b - a).to_pylist())
-            at = np.minimum(np.searchsorted(known, token), max(len(known) - 1, 0))
-            if not len(known) or (known[at] != token).any():
-                raise RuntimeError("documents came in another order when they were read again; checkpoint them first")
+        for token, bounds in found:
+            at = np.searchsorted(known, token)
             before = firsts(token, bounds)
-            pair, which = np.unique(pair_hash(before, token), return_inverse=True)
-            shard = pair % np.uint64(shards)
-            key_of = _pair_key((pair // np.uint64(shards)).astype(np.uint32), shard, shards)
-            pairs = level_counts(shared.value.levels(key_of))[which]
+            paired = pair_held[np.searchsorted(pairs, pair_hash(before, token))]
             first = held[np.searchsorted(known, before)]
             word = (held[at] + 0.5) / (n_train + 0.5 * (n_words + 1))
-            chance = PAIR * np.minimum(1.0, pairs / np.maximum(first, 1.0)) + (1 - PAIR) * np.minimum(1.0, word)
+            chance = PAIR * np.minimum(1.0, paired / np.maximum(first, 1.0)) + (1 - PAIR) * np.minimum(1.0, word)
             starts = bounds[:-1]
             for column, x in zip(out, (np.diff(bounds), np.add.reduceat(exact[at] > 0, starts, dtype=np.int64), np.add.reduceat(base[at], starts), np.add.reduceat(np.log10(chance), starts))):
                 column.append(x)
@@ -265,5 +281,5 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block
         return pa.table([pa.array(ids, pa.int64()), pa.array([not is_training(i) for i in ids]), pa.array(total), pa.array(n_known), pa.array(np.full(len(ids), n_train)), pa.array(base_score), pa.array(scores)], [id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     placed = source.mapInArrow(place, "id long, text string, block long")
-    answers = gathered.filter("block is not null").select("block", "words", "counts")
+    answers = gathered.filter("block is not null").select("block", "shard", "counts", "levels", "pair_levels", "check")
     return placed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(judge, f"`{id_col}` long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

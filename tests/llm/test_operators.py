@@ -1,4 +1,5 @@
 import hashlib
+import inspect
 import math
 import re
 import zlib
@@ -163,6 +164,26 @@ def test_language_model_edge_cases(odd):
     assert lm.score(odd.limit(0)).count() == 0
 
 
+def test_scores_use_every_ngram(docs, texts):
+    bound = {"most_bits": 1 << 12} if "most_bits" in inspect.signature(lm.score).parameters else {}
+    made = {i: lm.tokens([t])[0] for i, t in texts.items()}
+    pairs_of = {i: lm.pair_hash(lm.firsts(x, np.array([0, len(x)])), x).tolist() for i, x in made.items()}
+    seen, pairs = Counter(), Counter()
+    for i, x in made.items():
+        if lm.is_training(i):
+            seen.update([int(lm.START), *x.tolist()])
+            pairs.update(pairs_of[i])
+    total, kinds = sum(seen.values()) - seen[int(lm.START)], len(seen) - 1
+    count = lambda n: lm.level_counts(lm.levels(np.array(n)))
+    near = []
+    for r in lm.score(docs, **bound).collect():
+        x = made[r.doc_id].tolist()
+        word, first, pair = count([seen[w] for w in x]), count([seen[w] for w in [int(lm.START), *x[:-1]]]), count([pairs[p] for p in pairs_of[r.doc_id]])
+        chance = lm.PAIR * np.minimum(1, pair / np.maximum(first, 1)) + (1 - lm.PAIR) * np.minimum(1, (word + 0.5) / (total + 0.5 * (kinds + 1)))
+        near.append(abs(r.score - np.log10(chance).sum()) / len(x))
+    assert np.median(near) < 0.15 and np.mean(near) < 0.2
+
+
 def test_filter_levels():
     keys, counts = np.arange(1, 5000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), np.arange(1, 5000)
     filled = lm.Filter([lm.make_slice(keys, counts, 1 << 24)])
