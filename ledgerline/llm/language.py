@@ -5,7 +5,8 @@ A text's n-grams give a margin for each bit; the codeword with the least loss, w
 classifier is, wins. ``score`` is the winner's share (softmax of the negative losses); texts whose best two codewords
 are nearly as good are flagged as ambiguous.
 
-Learning draws on a bounded sample of labelled documents, about ``SAMPLE_PER_LANGUAGE`` each, drawn by a hash of the id.
+Learning draws on a bounded sample of labelled documents: of each language, the ``SAMPLE_PER_LANGUAGE`` distinct texts
+with letters whose hashes are smallest, whatever their ids.
 
 Defined results: a null text or one without letters is ``und`` with score 0 and not ambiguous; a null id counts as
 not held out; equal rows get equal results; no labelled rows: all texts are ``und``; an empty table gives no rows;
@@ -19,7 +20,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .arrow import annotate, keep_where
@@ -141,13 +142,13 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def learn(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Decoder:
     """Fits on a hash sample of the rows with a language and a text that are not held out."""
-    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()).select("doc_id", "lang", "text")
-    sizes = known.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()
-    if len(sizes) > MOST_LANGUAGES:
+    known = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out()).select("lang", "text", F.xxhash64("text").alias("__hash"))
+    keys = known.select("lang", "__hash").distinct()
+    if len(keys.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect()) > MOST_LANGUAGES:
         raise ValueError(f"over {MOST_LANGUAGES} languages")
-    rates = docs.sparkSession.createDataFrame([(r.lang, min(1.0, per_language / r["count"])) for r in sizes], "lang string, __rate double")
-    drawn = known.join(F.broadcast(rates), "lang").filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1e6 < F.col("__rate"))
-    rows = sorted(drawn.select("doc_id", "lang", "text").collect(), key=lambda r: (r.doc_id is None, r.doc_id, r.text))
+    least = keys.withColumn("__rank", F.row_number().over(Window.partitionBy("lang").orderBy("__hash"))).filter(F.col("__rank") <= per_language).drop("__rank")
+    drawn = known.join(F.broadcast(least), ["lang", "__hash"]).groupBy("lang", "__hash").agg(F.min("text").alias("text"))
+    rows = sorted(drawn.select("lang", "text").collect())
     rows = [r for r in rows if any(c.isalpha() for c in r.text)]
     return fit([r.text for r in rows], [r.lang for r in rows])
 

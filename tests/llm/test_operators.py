@@ -114,6 +114,25 @@ def test_languages_are_told_apart(docs, odd):
     assert language.keep_identified(odd).columns == odd.columns
 
 
+@pytest.fixture
+def one_id(spark):
+    words = {"en": "the house of and with this", "de": "der haus und mit dieser nicht"}
+    rows = [(None if lang == "en" else 8, lang, " ".join(w + chr(97 + k) for w, k in zip(draw.choice(words[lang].split(), 60), draw.integers(0, 26, 60)))) for draw in [np.random.default_rng(6)] for lang in words for _ in range(1500)]
+    return spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(4)
+
+
+def test_samples_stay_bounded_with_one_id(spark, one_id, monkeypatch):
+    taken = []
+    monkeypatch.setattr(language, "fit", lambda texts, labels: taken.append(Counter(labels)))
+    language.learn(one_id)
+    assert taken == [{"en": 400, "de": 400}]
+    sizes = []
+    grow = quality.IsolationForest
+    monkeypatch.setattr(quality, "IsolationForest", lambda rows: sizes.append(len(rows)) or grow(rows))
+    quality.calibrate(one_id, spark.createDataFrame([(8, 1), (None, 1)], "doc_id long, quality int"), sample_rows=100)
+    assert sizes and sizes[0] <= 100
+
+
 # op4
 
 
