@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .segments import slices
@@ -22,6 +23,48 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str, most: int = CHARS_AT_ON
             yield batch.slice(a, b - a), texts[a:b]
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def smallest(keys: DataFrame, kind: str, rows: int, chars: int) -> DataFrame:
+    """(__hash, ``kind``) of each kind's distinct texts with the smallest hashes: ``rows`` of them at most, and so many as
+    hold ``chars`` characters in all, but one at least. Long texts come last, so that they do not crowd out the others.
+
+    ``keys`` has __hash, __size and the kind. Spark cuts each kind to ``rows`` in every task before the shuffle.
+    """
+    order = [(F.col("__size") > chars // rows), F.col("__hash")]
+    ranked = keys.groupBy(kind, "__hash").agg(F.min("__size").alias("__size")).withColumn("__rank", F.row_number().over(Window.partitionBy(kind).orderBy(*order))).filter(F.col("__rank") <= rows)
+    so_far = F.sum("__size").over(Window.partitionBy(kind).orderBy("__rank"))
+    return ranked.withColumn("__so_far", so_far).filter((F.col("__rank") == 1) | (F.col("__so_far") <= chars)).select("__hash", kind)
+
+
+def grouped(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[pa.Table]:
+    """Joins batches so that no group of equal first columns is cut."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = np.column_stack([batch.column(i).to_numpy() for i in range(n_keys)])
+        new = np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1
+        if held:
+            last = [held[-1].column(i)[held[-1].num_rows - 1].as_py() for i in range(n_keys)]
+            if (key[0] != last).any():
+                new = np.concatenate([[0], new])
+        if len(new):
+            cut = int(new[-1])
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held = [batch.slice(cut)]
+        else:
+            held.append(batch)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def annotate(docs: DataFrame, make: Callable[[], Callable[[list], list]], schema: str, extra: list = (), id_col: str = "doc_id", text_col: str = "text", most: int = CHARS_AT_ONCE) -> DataFrame:
     """One row per document: its id, the ``extra`` columns, and what the batch function returns.
 
