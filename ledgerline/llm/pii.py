@@ -1,10 +1,16 @@
 """Personal data replaced by format-preserving pseudonyms.
 
-Values are found by pattern, validated, and permuted by a keyed Feistel network inside their own format: a value always
-gets the same pseudonym in every document, two values never share one, and whoever holds the key can go back. Card
-numbers keep their separators and stay valid under the Luhn check; dates stay dates between 1900 and 2099, in the same
-notation; addresses stay IPv4 addresses; telephone numbers keep country code and layout; mail addresses keep their
-domain, and letters and digits of the local part stay letters and digits. What fails validation stays as it is.
+Values are found by pattern, validated, brought into a canonical form, and permuted by a keyed Feistel network inside
+their own format: a value always gets the same pseudonym in every document, two values never share one, no value is its
+own pseudonym, and whoever holds the key can go back. Card numbers keep their separators and stay valid under the Luhn
+check, IBANs under their check digits; dates stay dates between 1900 and 2099, in the same notation; addresses stay IPv4
+addresses; social security numbers stay in the ranges that are given out; telephone numbers keep country code and layout;
+mail addresses keep their domain, and letters and digits of the local part stay letters and digits. What fails
+validation stays as it is.
+
+The canonical form is what links notations of one value: mail addresses are compared without regard to case, telephone
+numbers as country and national digits (a number without country code is one of ``HOME_COUNTRY``), cards, IBANs and
+dates by their digits. The pseudonym is written in the notation of the place where the value stood.
 
 Defined results: a null text stays null, an empty one empty; a null id stays null; equal rows become equal rows; an empty
 table gives no rows; other columns are not read by ``pseudonymise`` and are kept by ``mask``.
@@ -24,14 +30,18 @@ from pyspark.sql import DataFrame
 from .arrow import annotate, pieces
 
 ROUNDS = 10
-KINDS = ("card", "date", "ip", "phone", "email")
+KINDS = ("card", "date", "ip", "phone", "email", "iban", "ssn")
+#: Country code of telephone numbers that are written without one.
+HOME_COUNTRY = "1"
 #: What may be one of the kinds, in the order in which they are tried at a position.
 PATTERN = re.compile(
-    r"(?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})"
+    r"(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))"
+    r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
+    r"|(?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})"
     r"|(?P<ip>(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d))"
     r"|(?P<date>(?<![\d/.-])(?:\d{4}-\d\d-\d\d|\d{4}/\d\d/\d\d|\d\d\.\d\d\.\d{4}|\d\d/\d\d/\d{4})(?![\d/]|[.-]\d))"
     r"|(?P<phone>(?<![\d+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\d(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-]))"
-    r"|(?P<card>(?<![\d.])\d(?:[ -]?\d){12,18}(?!\d))",
+    r"|(?P<card>(?<![\d.])(?:\d{13,19}|\d{4}(?P<between>[ -])\d{4}(?P=between)\d{4}(?P=between)\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d))",
     re.ASCII,
 )
 MIGHT = re.compile(r"[0-9@]")
@@ -58,14 +68,18 @@ class Feistel:
                 left, right = right, left ^ self._round(kind, size, step, right, half)
         return left << half | right
 
-    def __call__(self, kind: str, size: int, x: int, back: bool = False) -> int:
-        if size < 2:
-            return x
+    def _walked(self, kind: str, size: int, x: int, back: bool) -> int:
         while True:
             x = self._once(kind, size, x, back)
             if x < size:
                 return x
 
+    def __call__(self, kind: str, size: int, x: int, back: bool = False) -> int:
+        """The successor (``back``: predecessor) of x in a keyed order of all values: a permutation without fixed points."""
+        if size < 2:
+            return x
+        return self._walked(kind, size, (self._walked(kind, size, x, False) + (-1 if back else 1)) % size, True)
+
 
 def luhn_digit(digits: str) -> str:
     """The check digit that follows these digits."""
@@ -115,31 +129,72 @@ def _ip(value: str, permute: Callable) -> str | None:
 def _phone(value: str, permute: Callable) -> str | None:
     country = re.match(r"\+[0-9]{1,3}(?=[^0-9])|\+1|\+[0-9]{2}", value)
     head = country[0] if country else ""
-    digits = re.sub(r"[^0-9]", "", value[len(head) :])
-    if not 7 <= len(digits) <= 12:
+    code, digits = head[1:] or HOME_COUNTRY, re.sub(r"[^0-9]", "", value[len(head) :])
+    if not 7 <= len(digits) <= 15 - len(code) or code.startswith("0") or (code == "1" and len(digits) != 10) or len(set(digits)) == 1:
         return None
-    return head + _refill(value[len(head) :], str(permute("phone" + head, 10 ** len(digits), int(digits))).zfill(len(digits)))
+    return head + _refill(value[len(head) :], str(permute("phone" + code, 10 ** len(digits), int(digits))).zfill(len(digits)))
 
 
-def _email(value: str, permute: Callable) -> str | None:
-    local, _, domain = value.rpartition("@")
+def _ssn(value: str, permute: Callable) -> str | None:
+    area, group, serial = (int(x) for x in value.split("-"))
+    if not (0 < area < 900 and area != 666 and group and serial):
+        return None
+    number = ((area - 1 - (area > 666)) * 99 + group - 1) * 9999 + serial - 1
+    number, serial = divmod(permute("ssn", 898 * 99 * 9999, number), 9999)
+    area, group = divmod(number, 99)
+    return f"{area + 1 + (area + 1 > 665):03d}-{group + 1:02d}-{serial + 1:04d}"
+
+
+def _letters(shape: str, text: str, kind: str, permute: Callable) -> str | None:
+    """Digits stay digits and letters letters, in lower case; all else stays. Null where there is nothing to permute."""
     small, digits, size, number = "abcdefghijklmnopqrstuvwxyz", "0123456789", 1, 0
-    radix = [10 if c in digits else 26 if c.lower() in small else 1 for c in local]
-    for c, r in zip(local, radix):
+    radix = [10 if c in digits else 26 if c in small else 1 for c in text]
+    for c, r in zip(text, radix):
+        if r > 1:
+            number, size = number * r + (int(c) if r == 10 else small.index(c)), size * r
+    if size < 2:
+        return None
+    number, out = permute(kind + shape, size, number), []
+    for c, r in zip(reversed(text), reversed(radix)):
         if r > 1:
-            number, size = number * r + (int(c) if r == 10 else small.index(c.lower())), size * r
-    shape = "".join("9" if c in digits else "a" if c in small else "A" if c.lower() in small else c for c in local)
-    number, out = permute(f"email{shape}@{domain.lower()}", size, number), []
-    for c, r in zip(reversed(local), reversed(radix)):
-        if r == 1:
-            out.append(c)
-        else:
             number, x = divmod(number, r)
-            out.append(str(x) if r == 10 else small[x].upper() if c.isupper() else small[x])
-    return "".join(reversed(out)) + "@" + domain
+            c = str(x) if r == 10 else small[x]
+        out.append(c)
+    return "".join(reversed(out))
+
+
+def _shape(text: str) -> str:
+    return re.sub("[a-z]", "a", re.sub("[0-9]", "9", text))
+
+
+def iban_check(country: str, rest: str) -> str:
+    """The two check digits of an IBAN."""
+    number = "".join(str(int(c, 36)) for c in rest + country + "00")
+    return f"{98 - int(number) % 97:02d}"
+
+
+def _iban(value: str, permute: Callable) -> str | None:
+    plain = value.replace(" ", "")
+    country, rest = plain[:2], plain[4:]
+    if not 15 <= len(plain) <= 34 or iban_check(country, rest) != plain[2:4]:
+        return None
+    made = _letters(_shape(rest.lower()), rest.lower(), f"iban{country}", permute)
+    made = country + iban_check(country, made.upper()) + made.upper()
+    it = iter(made)
+    return "".join(" " if c == " " else next(it) for c in value)
+
+
+def _email(value: str, permute: Callable) -> str | None:
+    local, _, domain = value.rpartition("@")
+    labels = domain.split(".")
+    if len(local) > 64 or len(domain) > 253 or local[0] == "." or local[-1] == "." or ".." in local or any(not x or len(x) > 63 or x[0] == "-" or x[-1] == "-" for x in labels):
+        return None
+    plain = local.lower()
+    made = _letters(_shape(plain), plain, f"email@{domain.lower()}:", permute)
+    return made and "".join(m.upper() if c.isupper() else m for c, m in zip(local, made)) + "@" + domain
 
 
-_MAKERS = {"card": _card, "date": _date, "ip": _ip, "phone": _phone, "email": _email}
+_MAKERS = {"card": _card, "date": _date, "ip": _ip, "phone": _phone, "email": _email, "iban": _iban, "ssn": _ssn}
 
 
 class Pseudonyms:
