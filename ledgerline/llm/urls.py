@@ -16,8 +16,9 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -58,6 +59,20 @@ def pattern_rule(action: str, pattern: str) -> Rule:
     return Rule(pattern, action, False, regex, tuple(dict.fromkeys(whole)))
 
 
+def read_rules(rules: DataFrame) -> tuple[list[tuple[str, str]], list[tuple[str, str]]]:
+    """Host rules and patterns of a table (kind: host or pattern, action: block or allow, rule); ``MOST_RULES`` at most.
+
+    Rows with a null, and rows of other kinds or actions, are an error, so that no rule is lost without a word.
+    """
+    rows = rules.select("kind", "action", "rule").distinct().limit(MOST_RULES + 1).collect()
+    if len(rows) > MOST_RULES:
+        raise ValueError(f"over {MOST_RULES} rules")
+    for r in rows:
+        if r.kind not in ("host", "pattern") or r.action not in ("block", "allow") or not r.rule:
+            raise ValueError(f"no rule: {r}")
+    return tuple(sorted((r.action, r.rule) for r in rows if r.kind == kind) for kind in ("host", "pattern"))
+
+
 def split_url(url: str | None) -> tuple[str, str]:
     rest = url.partition("://")[2] if url else ""
     host = re.match(r"[^/?#]*", rest)[0]
@@ -73,11 +88,12 @@ def rule_index(rules: Sequence[Rule], seen: Mapping[str, int]) -> dict[str, list
     return found
 
 
-def judge(host: str, path: str, index: Mapping[str, Sequence[tuple[Rule, re.Pattern]]]) -> tuple[str | None, str]:
+def judge(host: str, path: str, index: Mapping[str, Sequence[Rule]], compiled: Callable[[Rule], re.Pattern]) -> tuple[str | None, str]:
     lower = (host + path).translate(_UPPER)
     candidates = [rule for token in {"", *_TOKEN.findall(lower)} for rule in index.get(token, ())]
     best, actions = None, set()
-    for rule, regex in candidates:
+    for rule in candidates:
+        regex = compiled(rule)
         if rule.is_host:
             if regex.match(host + path) and (best is None or (-len(rule.name), rule.name) < (-len(best.name), best.name)):
                 best = rule
@@ -100,11 +116,13 @@ def filter_urls(pages: DataFrame, host_rules: Sequence = HOST_RULES, patterns: S
     index = rule_index(rules, seen)
     source = pages.select(F.col(id_col), F.col(url_col).alias("__url"))
 
+    sent = pages.sparkSession.sparkContext.broadcast(index)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ready = {t: [(r, re.compile(r.regex, re.DOTALL)) for r in own] for t, own in index.items()}
+        compiled = cache(lambda rule: re.compile(rule.regex, re.DOTALL))  # rules that no url meets are never compiled
         for batch in batches:
             parts = [split_url(u) for u in batch.column(1).to_pylist()]
-            judged = [judge(h, p, ready) for h, p in parts]
+            judged = [judge(h, p, sent.value, compiled) for h, p in parts]
             columns = [[h for h, _ in parts], [p for _, p in parts], [r for r, _ in judged], [v for _, v in judged]]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.string()) for c in columns)], [id_col, "host", "path", "rule", "verdict"])
 
