@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +16,7 @@ def build_session(app: str = "ledgerline", master: str | None = None, **conf: st
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     } | {k.replace("__", "."): v for k, v in conf.items()}
@@ -26,16 +26,24 @@ def build_session(app: str = "ledgerline", master: str | None = None, **conf: st
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder: the session's own, or a temporary one where none is set (tests)."""
+    """The shared checkpoint folder: the session's own; with a local master, a temporary one where none is set (tests)."""
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
         return current
     configured = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    context.setCheckpointDir(configured or os.path.join(tempfile.gettempdir(), "ledgerline-checkpoints"))
+    if not configured and not (context.master == "local" or context.master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="ledgerline-checkpoints-"))
     return context.getCheckpointDir()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of intermediate data, wherever Spark keeps it; a missing folder is fine."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """``checkpoint()`` in the shared folder, so that a lost executor loses no result."""
     checkpoint_dir(df.sparkSession)
