@@ -16,19 +16,21 @@ from ledgerline.llm.packing import pack
 from ledgerline.llm.quality import keep_quality
 from ledgerline.llm.queries import vocabulary
 from ledgerline.llm.secrets import redact
-from ledgerline.session import checkpoint_dir, table
+from ledgerline.session import checkpoint_dir, remove, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the languages of the table; those without letters go."""
+    """Documents that are clearly in one of the languages of the table; mixed texts, noise and texts without letters go."""
     return keep_identified(docs)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and the isolation forests, which the table of labels calibrates."""
     return keep_quality(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates."""
     return drop_near_duplicates(docs)
 
 
@@ -38,6 +40,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents' token ids in sequences."""
     return pack(docs, vocabulary("byte_bpe_50k.json"), vocabulary("byte_bpe_50k.tiktoken"))
 
 
@@ -53,8 +56,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, folder = table(spark, sf_dir, "documents"), f"{checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    """All stages in order; what a stage wrote goes when the next one has written its own. The last one's rows stay."""
+    docs, folder, before = table(spark, sf_dir, "documents"), f"{checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}", None
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+        place = f"{folder}/{name}"
+        stage(spark, docs, sf_dir).write.parquet(place)
+        if before:
+            remove(spark, before)
+        docs, before = spark.read.parquet(place), place
     return docs
