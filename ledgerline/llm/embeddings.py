@@ -1,40 +1,52 @@
 """Near duplicates among vectors by Euclidean p-stable hashing, with exact cosine checks.
 
 Normalised vectors fall into buckets: in each of several tables a key joins ``k`` quantised random projections,
-floor((a.v + b) / WIDTH). Vectors in one bucket are compared exactly, in double precision; a pair counts in the first
-table that brings it together, so that link counts are exact for the pairs found. ``tables_for`` sets k and the number of
-tables from the number of vectors: buckets stay small, and a pair at the threshold is missed with a chance of ``MISS``.
+floor((a.v + b) / WIDTH). ``tables_for`` sets k and the number of tables from the number of vectors, with one rule at
+every size: a bucket holds about ``BUCKET`` unrelated vectors, and a pair at the threshold shares no bucket with a chance
+of ``MISS``.
 
-Equal vectors are one vertex with a weight. A bucket above ``BLOCK`` vectors is cut into blocks that are compared two at a
-time, each pair of blocks a group of its own: no task holds a whole bucket, and only counts and one edge for each vector
-leave a group.
+Vectors do not travel to the buckets: a row there holds the vector's number and the signs of ``SIGNS`` further
+projections. Pairs of a bucket whose signs differ in too many places are passed over (a pair at the threshold with a
+chance below one in ten million); the others are candidates, and only their vectors are fetched and compared exactly, in
+double precision. A bucket with more than ``DENSE`` candidates a vector gives no pairs: its vectors are fetched and
+compared inside the bucket, so that a cluster gives counts and one edge a vector, and never all its pairs. A pair counts
+in the first table that brings it together, so that link counts are exact for the pairs found. Buckets above ``BLOCK``
+vectors are cut into blocks that are compared two at a time. Equal vectors are one vector with a weight.
 
 Defined results: a vector that is null, empty, zero, or holds null or non-finite components links with nothing, is its
 own component and kept; so does any row with a null id (null component, kept). Vectors of different dimensions never
-link. Rows that repeat an id are vectors of their own that share a component. An empty table gives no rows; other columns
-are not read.
+link. Components of any finite size are allowed. Ids are integers (other kinds are cast to long). Rows that repeat an id
+are vectors of their own that share a component. An empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .components import components
+from .arrow import grouped
+from .components import components, local_components
 from .segments import mix, spread
 
 LEAST_COSINE = 0.9
-WIDTH = 2.0
+WIDTH = 2.5
 MISS = 0.004
-BLOCK = 1024
-#: Hash functions in a key.
-FEWEST, MOST = 6, 16
+BUCKET, BLOCK = 1024, 1024
+#: Hash functions in a key at least.
+FEWEST = 4
+SIGNS = 128
+#: Standard deviations of the number of different signs that a pair at the threshold is given.
+SLACK = 5.5
+#: Candidates for each vector of a bucket, beyond which the vectors themselves come to the bucket.
+DENSE = 8
 SEED = 20_11
 
 
@@ -47,38 +59,51 @@ def collision(distance: float, width: float = WIDTH) -> float:
 def tables_for(n: int, least: float = LEAST_COSINE, miss: float = MISS) -> tuple[int, int]:
     """Hash functions in a key, and tables, for n vectors."""
     near, far = collision(math.sqrt(2 - 2 * least)), collision(math.sqrt(2))
-    k = min(MOST, max(FEWEST, round(math.log(max(n, 1) / 32) / -math.log(far))))
+    k = max(FEWEST, math.ceil(math.log(max(n, BUCKET) / BUCKET) / -math.log(far)))
     return k, math.ceil(math.log(miss) / math.log(1 - near**k))
 
 
+def most_apart(least: float = LEAST_COSINE) -> int:
+    """Signs in which a candidate may differ."""
+    share = math.acos(least) / math.pi
+    return int(SIGNS * share + SLACK * math.sqrt(SIGNS * share * (1 - share)))
+
+
 def bucket_keys(unit: np.ndarray, k: int, tables: int) -> np.ndarray:
-    """Each vector's key in each table."""
+    """Each vector's 32-bit key in each table."""
     draw = np.random.default_rng([SEED, unit.shape[1]])
     a, b = draw.standard_normal((unit.shape[1], k * tables)), draw.uniform(0, WIDTH, k * tables)
     cell = np.floor((unit @ a + b) / WIDTH).astype(np.int64).astype(np.uint64).reshape(len(unit), tables, k)
     key = np.full(cell.shape[:2], np.uint64(unit.shape[1])) + mix(np.arange(tables, dtype=np.uint64))
     for i in range(k):
         key = mix(key * np.uint64(0x9FB21C651E98DF25) + cell[:, :, i])
-    return key
+    return (key >> np.uint64(32)).astype(np.uint32)
+
 
+def signs(unit: np.ndarray) -> np.ndarray:
+    """Signs of further projections, as two 64-bit words."""
+    planes = np.random.default_rng([SEED + 1, unit.shape[1]]).standard_normal((unit.shape[1], SIGNS))
+    return np.packbits(unit @ planes > 0, axis=1, bitorder="little").view(np.int64)
 
-def _unit(rows: list) -> np.ndarray:
+
+def _unit(rows) -> np.ndarray:
+    """Rows of length 1; scaled by the largest component first, so that no square over- or underflows."""
     vectors = np.array(rows, np.float64)
+    vectors = vectors / np.abs(vectors).max(1, keepdims=True)
     return vectors / np.sqrt((vectors * vectors).sum(1, keepdims=True))
 
 
-def _local_components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Smallest reachable index of each of n vertices."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Length and start of each list, and all values in a row; nulls become NaN."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return lengths, np.cumsum(lengths) - lengths, column.flatten().to_numpy(zero_copy_only=False)
+
+
+def _by_size(lengths: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    for size in np.unique(lengths):
+        yield int(size), np.flatnonzero(lengths == size)
 
 
 def compare(ids: np.ndarray, weight: np.ndarray, unit: np.ndarray, keys: np.ndarray, side: np.ndarray, group: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -88,27 +113,15 @@ def compare(ids: np.ndarray, weight: np.ndarray, unit: np.ndarray, keys: np.ndar
     ``group`` holds the table's number in its last column.
     """
     bounds = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]).any(1), [True]]))
-    sizes = np.diff(bounds)
-    links, lows = np.zeros(len(ids), np.int64), ids.copy()
-    found = []
-    small = sizes <= 48
-    for size in np.unique(sizes[small]):
-        if size < 2:
-            continue
-        first, (i, j) = bounds[:-1][sizes == size], np.triu_indices(size, 1)
-        at = (first[:, None] + i).ravel(), (first[:, None] + j).ravel()
-        for s in range(0, len(at[0]), 50_000):
-            a, b = at[0][s : s + 50_000], at[1][s : s + 50_000]
-            near = ((unit[a] * unit[b]).sum(1) >= least) & ((side[a] == 2) | (side[a] != side[b]))
-            found.append((a[near], b[near]))
-    for start, size in zip(bounds[:-1][~small], sizes[~small]):
-        own = slice(start, start + size)
-        cosine = unit[own] @ unit[own].T
-        near = np.triu(cosine >= least, 1) & ((side[own] == 2)[:, None] | (side[own][:, None] != side[own]))
-        a, b = np.nonzero(near)
-        found.append((a + start, b + start))
-    if not found:
-        return links, lows, np.zeros(0, np.int64)
+    links, found = np.zeros(len(ids), np.int64), [(np.zeros(0, np.int64),) * 2]
+    for start, end in zip(bounds[:-1], bounds[1:]):
+        for first in range(start, end, 256):
+            own = slice(first, min(first + 256, end))
+            near = unit[own] @ unit[start:end].T >= least
+            near &= np.arange(start, end)[None, :] > np.arange(own.start, own.stop)[:, None]
+            near &= (side[own] == 2)[:, None] | (side[own][:, None] != side[start:end])
+            a, b = np.nonzero(near)
+            found.append((a + first, b + start))
     a, b = (np.concatenate(x) for x in zip(*found))
     table = group[a, -1]
     fresh = np.ones(len(a), bool)
@@ -120,83 +133,135 @@ def compare(ids: np.ndarray, weight: np.ndarray, unit: np.ndarray, keys: np.ndar
     order = np.argsort(ids, kind="stable")
     rank = np.empty_like(order)
     rank[order] = np.arange(len(ids))
-    lows = ids[order][_local_components(len(ids), rank[a], rank[b])][rank]
+    lows = ids[order][local_components(len(ids), rank[a], rank[b])][rank]
     return links, lows, np.flatnonzero((links > 0) | (lows != ids))
 
 
-def _grouped(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[pa.Table]:
-    """Joins batches so that no group of equal first columns is cut."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        key = np.column_stack([batch.column(i).to_numpy() for i in range(n_keys)])
-        new = np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1
-        if held:
-            last = [held[-1].column(i)[held[-1].num_rows - 1].as_py() for i in range(n_keys)]
-            if (key[0] != last).any():
-                new = np.concatenate([[0], new])
-        if len(new):
-            cut = int(new[-1])
-            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
-            held = [batch.slice(cut)]
-        else:
-            held.append(batch)
-    if held:
-        yield pa.Table.from_batches(held)
-
-
-def _valid(vector) -> F.Column:
-    ok = F.size(vector) > 0
-    return ok & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(vector, lambda x: x != 0)
-
-
-def near_duplicates(vectors: DataFrame, least: float = LEAST_COSINE, id_col: str = "vec_id", vector_col: str = "embedding", block: int = BLOCK) -> DataFrame:
+def candidates(first: np.ndarray, second: np.ndarray, side: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows a and b of one group whose signs (two words each) differ in ``most`` places at most."""
+    found = [(np.zeros(0, np.int64),) * 2]
+    for start in range(0, len(first), 256):
+        own = slice(start, start + 256)
+        apart = np.bitwise_count(first[own, None] ^ first[None, :]) + np.bitwise_count(second[own, None] ^ second[None, :])
+        near = (apart <= most) & ((side[own] == 2)[:, None] | (side[own, None] != side[None, :]))
+        a, b = np.nonzero(near)
+        a = a + start
+        found.append((a[a < b], b[a < b]))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def near_duplicates(vectors: DataFrame, least: float = LEAST_COSINE, id_col: str = "vec_id", vector_col: str = "embedding", block: int = BLOCK, dense: int = DENSE) -> DataFrame:
     """One row per vector: id, n_links, component_id and kept."""
-    source = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
-    usable = F.coalesce(F.col("id").isNotNull() & _valid(F.col("vector")), F.lit(False))
-    distinct = cut_lineage(source.filter(usable).groupBy("vector").agg(F.min("id").alias("id"), F.count("*").alias("weight")))
-    k, tables = tables_for(distinct.count(), least)
+    source = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"))
+    doubles = lambda df: df.select("id", F.col("vector").cast("array<double>").alias("vector"))
+    k, tables = tables_for(vectors.count(), least)
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.column(2).to_pylist()
-            sizes = np.array([len(r) for r in rows])
-            for size in np.unique(sizes):
-                own = np.flatnonzero(sizes == size)
-                keys = bucket_keys(_unit([rows[i] for i in own]), k, tables).view(np.int64)
-                yield pa.RecordBatch.from_arrays([*batch.select([0, 1, 2]).take(pa.array(own)).columns, pa.array(list(keys), pa.list_(pa.int64()))], ["id", "weight", "vector", "keys"])
-
-    hashed = cut_lineage(distinct.select("id", "weight", "vector").mapInArrow(keyed, "id long, weight long, vector array<double>, keys array<long>"))
-    placed = hashed.select("id", F.posexplode("keys").alias("t", "key"))
-    full = placed.groupBy("t", "key").agg(F.count("*").alias("n")).filter("n > 1")
-    shared = placed.join(full, ["t", "key"]).select("id", "t", "key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    dealt = shared.withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    dealt = dealt.select("id", "t", "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"))
-    names = ["t", "key", "low", "high"]
-    rows = dealt.join(hashed, "id").select(F.col("t").cast("long"), "key", F.col("low").cast("long"), F.col("high").cast("long"), "id", "weight", "side", "vector", "keys")
-    rows = rows.repartition(*names).sortWithinPartitions(*names, "id")
-
-    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _grouped(batches, 4):
-            group = np.column_stack([table.column(i).to_numpy() for i in (1, 2, 3, 0)])
-            ids, weight, side = (table.column(i).to_numpy() for i in (4, 5, 6))
-            lengths = np.diff(np.concatenate([[0], np.cumsum([len(v) for v in table.column(7)])]))
-            flat = table.column(7).combine_chunks().flatten().to_numpy()
-            keys = table.column(8).combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
-            starts = np.cumsum(lengths) - lengths
-            for size in np.unique(lengths):
-                rows_of = np.flatnonzero(lengths == size)
-                unit = _unit(flat[spread(starts[rows_of], lengths[rows_of])].reshape(-1, size))
-                links, low, some = compare(ids[rows_of], weight[rows_of], unit, keys[rows_of], side[rows_of], group[rows_of], least)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[rows_of][some]), pa.array(links[some]), pa.array(low[some])], ["id", "links", "low"])
-
-    links = cut_lineage(rows.mapInArrow(linked, "id long, links long, low long"))
-    classes = components(links.select(F.col("id").alias("u"), F.col("low").alias("v")))
-    counts = links.groupBy("id").agg(F.sum("links").alias("links"))
-    made = distinct.join(counts, "id", "left").join(classes.withColumnRenamed("vertex", "id"), "id", "left")
-    made = made.select("vector", F.coalesce("links", F.lit(0)).alias("links"), "weight", F.coalesce("component", "id").alias("component_id"))
-    result = source.filter(usable).join(made, "vector").select("id", (F.col("links") + F.col("weight") - 1).alias("n_links"), "component_id")
-    rest = source.filter(~usable).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+            lengths, starts, flat = _lists(batch.column(1))
+            usable = np.array([i is not None for i in batch.column(0).to_pylist()], bool)
+            for size, rows in _by_size(lengths):
+                own = flat[spread(starts[rows], lengths[rows])].reshape(len(rows), size) + 0.0
+                ok = usable[rows] & (np.isfinite(own).all(1) & (own != 0).any(1) if size else np.zeros(len(rows), bool))
+                own, rows = own[ok], np.concatenate([rows[ok], rows[~ok]])
+                unit = _unit(own) if len(own) else np.zeros((0, max(size, 1)))
+                pad = lambda made: pa.array([*made, *([None] * (len(rows) - len(own)))], None)
+                word = signs(unit)
+                columns = [pad([blake2b(v.tobytes(), digest_size=16).digest() for v in own]).cast(pa.binary()), pad(word[:, 0].tolist()).cast(pa.int64()), pad(word[:, 1].tolist()).cast(pa.int64())]
+                keys = pa.array([*bucket_keys(unit, k, tables).view(np.int32), *([None] * (len(rows) - len(own)))], pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), *columns, keys], ["id", "digest", "s0", "s1", "keys"])
+
+    known = cut_lineage(doubles(source).mapInArrow(hashed, "id long, digest binary, s0 long, s1 long, keys array<int>"))
+    usable = known.filter("digest is not null")
+    grouped_ = usable.groupBy("digest").agg(F.min("id").alias("id"), F.count("*").alias("weight"), *(F.first(c).alias(c) for c in ("s0", "s1", "keys")))
+    distinct = cut_lineage(grouped_.withColumn("n", F.monotonically_increasing_id()))
+
+    placed = distinct.select("n", "s0", "s1", F.posexplode("keys").alias("t", "key"))
+    placed = placed.select("n", "s0", "s1", F.shiftleft(F.col("t").cast("long"), 32).bitwiseOR(F.col("key").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))).alias("key"))
+    counted = placed.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
+    shared = placed.join(counted, "key").withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
+    dealt = shared.withColumn("own", F.pmod(F.xxhash64("n"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
+    dealt = dealt.select("key", F.shiftleft(F.least("own", "other").cast("long"), 32).bitwiseOR(F.greatest("own", "other").cast("long")).alias("part"), "n", side.cast("long").alias("side"), "s0", "s1")
+    names, most = ["key", "part"], most_apart(least)
+
+    def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in grouped(batches, 2):
+            key, part, own, side, first, second = (table.column(i).to_numpy() for i in range(6))
+            cuts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (part[1:] != part[:-1]), [True]]))
+            for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                if y - x < 2:
+                    continue
+                a, b = candidates(first[x:y].view(np.uint64), second[x:y].view(np.uint64), side[x:y], most)
+                if len(a) > dense * (y - x):
+                    u = v = pa.nulls(1, pa.int64())
+                elif len(a):
+                    u, v = (pa.array(z) for z in (np.minimum(own[a + x], own[b + x]), np.maximum(own[a + x], own[b + x])))
+                else:
+                    continue
+                yield pa.RecordBatch.from_arrays([u, v, pa.array(np.full(len(u), key[x])), pa.array(np.full(len(u), part[x]))], ["u", "v", "key", "part"])
+
+    found = cut_lineage(dealt.repartition(*names).sortWithinPartitions(*names).mapInArrow(paired, "u long, v long, key long, part long"))
+    pairs = found.filter("u is not null").groupBy("u", "v").agg(F.min(F.shiftright("key", 32)).alias("t"))
+    crowded = cut_lineage(found.filter("u is null").select(*names))
+    inside = dealt.join(crowded, names, "left_semi").select(*names, "n", "side")
+    wanted = pairs.select(F.explode(F.array("u", "v")).alias("n")).unionByName(inside.select("n")).distinct()
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lengths, starts, flat = _lists(batch.column(1))
+            flat = flat + 0.0
+            said = [blake2b(flat[s : s + n].tobytes(), digest_size=16).digest() for s, n in zip(starts.tolist(), lengths.tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(said, pa.binary()), batch.column(1)], ["digest", "vector"])
+
+    asked = cut_lineage(distinct.select("n", "id", "weight", "digest", "keys").join(wanted, "n", "left_semi"))
+    fetched = doubles(source.join(asked.select("id").distinct(), "id", "left_semi")).mapInArrow(named, "digest binary, vector array<double>").dropDuplicates(["digest"])
+    fetched = cut_lineage(asked.join(fetched, "digest").drop("digest"))
+
+    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            (size_a, at_a, a), (size_b, at_b, b) = _lists(batch.column(7)), _lists(batch.column(8))
+            keys = [_lists(batch.column(i))[2].reshape(batch.num_rows, -1) for i in (9, 10)]
+            same = keys[0] == keys[1]
+            first = np.where(same.any(1), same.argmax(1), -1)
+            keep = np.zeros(batch.num_rows, bool)
+            for size, rows in _by_size(np.where(size_a == size_b, size_a, 0)):
+                if size:
+                    x, y = (_unit(flat[spread(at[rows], np.full(len(rows), size))].reshape(len(rows), size)) for flat, at in ((a, at_a), (b, at_b)))
+                    keep[rows] = np.einsum("ij,ij->i", x, y) >= least
+            keep &= first == batch.column(2).to_numpy()
+            yield batch.select([0, 1, 3, 4, 5, 6]).filter(pa.array(keep))
+
+    ends = lambda x: fetched.select(*(F.col(c).alias(n) for c, n in zip(("n", "id", "weight", "vector", "keys"), x)))
+    both = pairs.join(ends(("u", "id_u", "w_u", "x", "keys_u")), "u").join(ends(("v", "id_v", "w_v", "y", "keys_v")), "v")
+    linked = cut_lineage(both.select("u", "v", F.col("t").cast("long"), "id_u", "id_v", "w_u", "w_v", "x", "y", "keys_u", "keys_v").mapInArrow(exact, "u long, v long, id_u long, id_v long, w_u long, w_v long"))
+    counts = linked.select(F.col("u").alias("n"), F.col("w_v").alias("links")).unionByName(linked.select(F.col("v").alias("n"), F.col("w_u").alias("links")))
+    edges = linked.select(F.col("id_u").alias("u"), F.col("id_v").alias("v"))
+
+    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in grouped(batches, 2):
+            group = np.column_stack([table.column(0).to_numpy(), table.column(1).to_numpy(), table.column(0).to_numpy() >> 32])
+            own, side, ids, weight = (table.column(i).to_numpy() for i in range(2, 6))
+            lengths, starts, flat = _lists(table.column(6))
+            keys = _lists(table.column(7))[2].reshape(len(own), -1)
+            for size, rows in _by_size(lengths):
+                unit = _unit(flat[spread(starts[rows], lengths[rows])].reshape(-1, size))
+                links, low, some = compare(ids[rows], weight[rows], unit, keys[rows], side[rows], group[rows], least)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (own[rows][some], links[some], ids[rows][some], low[some])], ["n", "links", "u", "v"])
+
+    if not crowded.isEmpty():
+        rows = inside.join(fetched, "n").select(*names, "n", "side", "id", "weight", "vector", "keys").repartition(*names).sortWithinPartitions(*names)
+        more = cut_lineage(rows.mapInArrow(within, "n long, links long, u long, v long"))
+        counts, edges = counts.unionByName(more.select("n", "links")), edges.unionByName(more.select("u", "v"))
+
+    several = usable.groupBy("id").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).filter("a <> b").select("id")
+    repeated = usable.join(several, "id", "left_semi").select(F.col("id").alias("u"), "digest").join(distinct.select("digest", F.col("id").alias("v")), "digest")
+    classes = components(edges.unionByName(repeated.select("u", "v")))
+    sums = counts.groupBy("n").agg(F.sum("links").alias("links"))
+    made = distinct.select("n", "id", "digest", "weight").join(sums, "n", "left").join(classes.withColumnRenamed("vertex", "id"), "id", "left")
+    made = made.select("digest", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
+    result = usable.select("id", "digest").join(made, "digest").select("id", "n_links", "component_id")
+    rest = known.filter("digest is null").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     return result.unionByName(rest).select(F.col("id").alias(id_col), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
