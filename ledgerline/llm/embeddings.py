@@ -5,9 +5,9 @@ floor((a.v + b) / WIDTH). ``tables_for`` sets k and the number of tables from th
 every size: a bucket holds about ``BUCKET`` unrelated vectors, and a pair at the threshold shares no bucket with a chance
 of ``MISS``.
 
-Vectors do not travel to the buckets: a row there holds the vector's number and the signs of ``SIGNS`` further
-projections. Pairs of a bucket whose signs differ in too many places are passed over (a pair at the threshold with a
-chance below one in ten million); the others are candidates, and only their vectors are fetched and compared exactly, in
+Vectors do not travel to the buckets: a row there holds the vector's number and its components rounded to one byte each,
+with the length of what was rounded off. Pairs of a bucket that the rounded vectors and these lengths rule out are passed
+over (no link is lost by that); the others are candidates, and only their vectors are fetched and compared exactly, in
 double precision. A bucket with more than ``DENSE`` candidates a vector gives no pairs: its vectors are fetched and
 compared inside the bucket, so that a cluster gives counts and one edge a vector, and never all its pairs. A pair counts
 in the first table that brings it together, so that link counts are exact for the pairs found. Buckets above ``BLOCK``
@@ -42,9 +42,6 @@ MISS = 0.004
 BUCKET, BLOCK = 1024, 1024
 #: Hash functions in a key at least.
 FEWEST = 4
-SIGNS = 128
-#: Standard deviations of the number of different signs that a pair at the threshold is given.
-SLACK = 5.5
 #: Candidates for each vector of a bucket, beyond which the vectors themselves come to the bucket.
 DENSE = 8
 SEED = 20_11
@@ -63,12 +60,6 @@ def tables_for(n: int, least: float = LEAST_COSINE, miss: float = MISS) -> tuple
     return k, math.ceil(math.log(miss) / math.log(1 - near**k))
 
 
-def most_apart(least: float = LEAST_COSINE) -> int:
-    """Signs in which a candidate may differ."""
-    share = math.acos(least) / math.pi
-    return int(SIGNS * share + SLACK * math.sqrt(SIGNS * share * (1 - share)))
-
-
 def bucket_keys(unit: np.ndarray, k: int, tables: int) -> np.ndarray:
     """Each vector's 32-bit key in each table."""
     draw = np.random.default_rng([SEED, unit.shape[1]])
@@ -80,10 +71,13 @@ def bucket_keys(unit: np.ndarray, k: int, tables: int) -> np.ndarray:
     return (key >> np.uint64(32)).astype(np.uint32)
 
 
-def signs(unit: np.ndarray) -> np.ndarray:
-    """Signs of further projections, as two 64-bit words."""
-    planes = np.random.default_rng([SEED + 1, unit.shape[1]]).standard_normal((unit.shape[1], SIGNS))
-    return np.packbits(unit @ planes > 0, axis=1, bitorder="little").view(np.int64)
+def rounded(unit: np.ndarray) -> list[bytes]:
+    """Each vector in one byte a component, after the step and the length of what is rounded off (two 32-bit floats)."""
+    step = np.abs(unit).max(1, keepdims=True, initial=0) / 127
+    whole = np.rint(unit / np.where(step > 0, step, 1)).astype(np.int8)
+    off = np.sqrt(((unit - whole * step.astype(np.float32).astype(np.float64)) ** 2).sum(1, keepdims=True)) + 1e-6
+    head = np.column_stack([step, off]).astype("<f4").view(np.uint8).reshape(len(unit), 8)
+    return [row.tobytes() for row in np.column_stack([head, whole.view(np.uint8)])]
 
 
 def _unit(rows) -> np.ndarray:
@@ -137,16 +131,20 @@ def compare(ids: np.ndarray, weight: np.ndarray, unit: np.ndarray, keys: np.ndar
     return links, lows, np.flatnonzero((links > 0) | (lows != ids))
 
 
-def candidates(first: np.ndarray, second: np.ndarray, side: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows a and b of one group whose signs (two words each) differ in ``most`` places at most."""
+def candidates(codes: list[bytes], side: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows a and b of one group that their rounded vectors do not rule out."""
     found = [(np.zeros(0, np.int64),) * 2]
-    for start in range(0, len(first), 256):
-        own = slice(start, start + 256)
-        apart = np.bitwise_count(first[own, None] ^ first[None, :]) + np.bitwise_count(second[own, None] ^ second[None, :])
-        near = (apart <= most) & ((side[own] == 2)[:, None] | (side[own, None] != side[None, :]))
-        a, b = np.nonzero(near)
-        a = a + start
-        found.append((a[a < b], b[a < b]))
+    for size, rows in _by_size(np.array([len(c) for c in codes])):
+        table = np.frombuffer(b"".join(codes[i] for i in rows), np.uint8).reshape(len(rows), size)
+        step, off = (x[:, 0] for x in np.split(np.ascontiguousarray(table[:, :8]).view("<f4"), 2, axis=1))
+        whole, own_side = np.ascontiguousarray(table[:, 8:]).view(np.int8).astype(np.float32) * step[:, None], side[rows]
+        for start in range(0, len(rows), 256):
+            own = slice(start, start + 256)
+            slack = off[own, None] + off[None, :] + off[own, None] * off[None, :] + 1e-5
+            near = (whole[own] @ whole.T >= least - slack) & ((own_side[own] == 2)[:, None] | (own_side[own, None] != own_side[None, :]))
+            a, b = np.nonzero(near)
+            a = a + start
+            found.append((rows[a[a < b]], rows[b[a < b]]))
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
@@ -166,33 +164,33 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST_COSINE, id_col: str
                 own, rows = own[ok], np.concatenate([rows[ok], rows[~ok]])
                 unit = _unit(own) if len(own) else np.zeros((0, max(size, 1)))
                 pad = lambda made: pa.array([*made, *([None] * (len(rows) - len(own)))], None)
-                word = signs(unit)
-                columns = [pad([blake2b(v.tobytes(), digest_size=16).digest() for v in own]).cast(pa.binary()), pad(word[:, 0].tolist()).cast(pa.int64()), pad(word[:, 1].tolist()).cast(pa.int64())]
+                columns = [pad([blake2b(v.tobytes(), digest_size=16).digest() for v in own]).cast(pa.binary()), pad(rounded(unit)).cast(pa.binary())]
                 keys = pa.array([*bucket_keys(unit, k, tables).view(np.int32), *([None] * (len(rows) - len(own)))], pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), *columns, keys], ["id", "digest", "s0", "s1", "keys"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), *columns, keys], ["id", "digest", "code", "keys"])
 
-    known = cut_lineage(doubles(source).mapInArrow(hashed, "id long, digest binary, s0 long, s1 long, keys array<int>"))
+    known = cut_lineage(doubles(source).mapInArrow(hashed, "id long, digest binary, code binary, keys array<int>"))
     usable = known.filter("digest is not null")
-    grouped_ = usable.groupBy("digest").agg(F.min("id").alias("id"), F.count("*").alias("weight"), *(F.first(c).alias(c) for c in ("s0", "s1", "keys")))
+    grouped_ = usable.groupBy("digest").agg(F.min("id").alias("id"), F.count("*").alias("weight"), *(F.first(c).alias(c) for c in ("code", "keys")))
     distinct = cut_lineage(grouped_.withColumn("n", F.monotonically_increasing_id()))
 
-    placed = distinct.select("n", "s0", "s1", F.posexplode("keys").alias("t", "key"))
-    placed = placed.select("n", "s0", "s1", F.shiftleft(F.col("t").cast("long"), 32).bitwiseOR(F.col("key").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))).alias("key"))
+    placed = distinct.select("n", "code", F.posexplode("keys").alias("t", "key"))
+    placed = placed.select("n", "code", F.shiftleft(F.col("t").cast("long"), 32).bitwiseOR(F.col("key").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))).alias("key"))
     counted = placed.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
     shared = placed.join(counted, "key").withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
     dealt = shared.withColumn("own", F.pmod(F.xxhash64("n"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
-    dealt = dealt.select("key", F.shiftleft(F.least("own", "other").cast("long"), 32).bitwiseOR(F.greatest("own", "other").cast("long")).alias("part"), "n", side.cast("long").alias("side"), "s0", "s1")
-    names, most = ["key", "part"], most_apart(least)
+    dealt = dealt.select("key", F.shiftleft(F.least("own", "other").cast("long"), 32).bitwiseOR(F.greatest("own", "other").cast("long")).alias("part"), "n", side.cast("long").alias("side"), "code")
+    names = ["key", "part"]
 
     def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in grouped(batches, 2):
-            key, part, own, side, first, second = (table.column(i).to_numpy() for i in range(6))
+            key, part, own, side = (table.column(i).to_numpy() for i in range(4))
+            codes = table.column(4).to_pylist()
             cuts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (part[1:] != part[:-1]), [True]]))
             for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
                 if y - x < 2:
                     continue
-                a, b = candidates(first[x:y].view(np.uint64), second[x:y].view(np.uint64), side[x:y], most)
+                a, b = candidates(codes[x:y], side[x:y], least)
                 if len(a) > dense * (y - x):
                     u = v = pa.nulls(1, pa.int64())
                 elif len(a):

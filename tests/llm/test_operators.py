@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from ledgerline.llm import embeddings, language, lm, minhash, pii, quality, queries, secrets, sentencepiece_bpe, urls
-from ledgerline.llm.components import components
+from ledgerline.llm.components import components, local_components
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -263,7 +263,7 @@ def test_vector_links_equal_brute_force(spark, sf_dir):
     near = x @ x.T >= 0.9
     np.fill_diagonal(near, False)
     ids = [i for i, _ in some]
-    label = embeddings._local_components(len(ids), *np.nonzero(near))
+    label = local_components(len(ids), *np.nonzero(near))
     assert np.mean([got[i][:2] == (int(near[k].sum()), ids[label[k]]) for k, i in enumerate(ids)]) > 0.97
     assert all(got[i] == (0, i, True) for i in range(2000, 2005)) and got[None] == (0, None, True)
 
