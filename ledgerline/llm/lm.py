@@ -6,17 +6,17 @@ probe fails. A text's score adds log10(PAIR * pair / first + (1 - PAIR) * word),
 for; pair / first is at most 1.
 
 The filter is made in slices, one for each shard of hashed n-grams, each sized for all its shard's n-grams: it grows with
-the text, and a slice is only held by the task of its shard, which reads the levels back. The base score, ``n_known``
-and ``train_tokens`` use exact counts and no filter.
+the text, and a slice is only held by the task of its shard, which reads the levels back. No n-gram is left out. The
+base score, ``n_known`` and ``train_tokens`` use exact counts and no filter.
 
-Each task cuts its documents into blocks of bounded text. A block's distinct words and pairs go to the shards, the
-shards send the words' exact counts and all levels back in the order of the keys, and the block meets its documents
-again. Documents must come in the same order whenever they are read (a scan or a checkpoint does); a block whose keys
-have another sum raises an error.
+Each task cuts its documents into blocks of bounded text. A block's distinct words and pairs go to the shards that they
+belong to (a row for each such shard, so that rows never outnumber the keys), the shards send the words' exact counts and
+all levels back in the order of the keys, and the block meets its documents again. Documents must come in the same order
+whenever they are read (a scan or a checkpoint does); a block whose keys have another sum raises an error.
 
 Defined results: a null text is empty: its end token alone; a null id counts as a training document; equal rows are
 scored once each; no training tokens: the base score is that of V = 0 (log10 of 1 for each token); an empty table gives
-no rows; other columns are not read.
+no rows; other columns are not read. Ids are integers (other kinds are cast to long).
 """
 
 from __future__ import annotations
@@ -143,11 +143,22 @@ def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int,
             yield number, batch.slice(start)
 
 
-def _sum_by_key(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    if not parts:
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different values in order, and each value's place among them."""
+    order = np.argsort(values)
+    ranked = values[order]
+    fresh = np.ones(len(values), bool)
+    fresh[1:] = ranked[1:] != ranked[:-1]
+    place = np.empty(len(values), np.int64)
+    place[order] = np.cumsum(fresh) - 1
+    return ranked[fresh], place
+
+
+def _sum_by_key(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    if not keys:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    keys, which = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    return keys, np.bincount(which, np.concatenate([p[1] for p in parts]), len(keys)).astype(np.int64)
+    own, place = distinct(np.concatenate(keys))
+    return own, np.bincount(place, np.concatenate(counts), len(own)).astype(np.int64)
 
 
 def _split(keys: np.ndarray, counts: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -169,21 +180,24 @@ class _Counter:
     """Counts of one block. Pairs of the shard are told apart by 32 further bits of their hash."""
 
     def __init__(self, block: int):
-        self.block, self.words, self.pairs = block, [], []
+        self.block, self.words, self.pairs, self.training, self.starts = block, [], [], [], 0
 
     def add(self, ids: list, texts: list) -> None:
         token, bounds = tokens(texts)
-        training = np.repeat(np.fromiter(map(is_training, ids), bool, len(ids)), np.diff(bounds))
-        starts = int(sum(map(is_training, ids)))
-        self.words.append(_sum_by_key([(np.append(token, START), np.append(training.astype(np.int64), starts))]))
-        pair = pair_hash(firsts(token, bounds), token)
-        self.pairs.append(_sum_by_key([(pair, training.astype(np.int64))]))
+        trained = np.fromiter(map(is_training, ids), bool, len(ids))
+        self.words.append(token)
+        self.pairs.append(pair_hash(firsts(token, bounds), token))
+        self.training.append(np.repeat(trained, np.diff(bounds)))
+        self.starts += int(trained.sum())
 
     def rows(self, shards: int) -> pa.RecordBatch:
-        words_, counts, at = _split(*_sum_by_key(self.words), shards)
-        pairs, pair_counts, pair_at = _split(*_sum_by_key(self.pairs), shards)
-        cut = lambda a, kind, at: pa.array([a[x:y].astype(kind).tobytes() for x, y in zip(at[:-1], at[1:])], pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(np.arange(shards)), pa.array(np.full(shards, self.block)), cut(words_, "<u8", at), cut(counts, "<u4", at), cut(pairs // np.uint64(shards), "<u4", pair_at), cut(pair_counts, "<u4", pair_at)], ["shard", "block", "words", "counts", "pairs", "pair_counts"])
+        """A row for each shard that the block has keys of: so many rows at most as the block has different keys."""
+        own = _sum_by_key([*self.words, np.array([START])], [*self.training, np.array([self.starts])])
+        words_, counts, at = _split(*own, shards)
+        pairs, pair_counts, pair_at = _split(*_sum_by_key(self.pairs, self.training), shards)
+        some = np.flatnonzero((np.diff(at) > 0) | (np.diff(pair_at) > 0))
+        cut = lambda a, kind, at: pa.array([a[at[i] : at[i + 1]].astype(kind).tobytes() for i in some], pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(some), pa.array(np.full(len(some), self.block)), cut(words_, "<u8", at), cut(counts, "<u4", at), cut(pairs // np.uint64(shards), "<u4", pair_at), cut(pair_counts, "<u4", pair_at)], ["shard", "block", "words", "counts", "pairs", "pair_counts"])
 
 
 def _read(column, kind: str) -> list[np.ndarray]:
@@ -214,8 +228,8 @@ def _gather(docs: DataFrame, shards: int, block_chars: int) -> DataFrame:
     def merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         shard = int(key[0])
         own, own_counts, own_pairs = _read(rows["words"], "<u8"), _read(rows["counts"], "<u4"), _read(rows["pairs"], "<u4")
-        keys, counts = _sum_by_key(list(zip(own, own_counts)))
-        pairs, pair_counts = _sum_by_key(list(zip(own_pairs, _read(rows["pair_counts"], "<u4"))))
+        keys, counts = _sum_by_key(own, own_counts)
+        pairs, pair_counts = _sum_by_key(own_pairs, _read(rows["pair_counts"], "<u4"))
         seen = (counts > 0) & (keys != START)
         pair_keys = _pair_key(pairs, shard, shards)
         held = Filter([make_slice(np.concatenate([keys[counts > 0], pair_keys[pair_counts > 0]]), np.concatenate([counts[counts > 0], pair_counts[pair_counts > 0]]))])
@@ -245,40 +259,35 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block
 
     def judge(key: tuple, rows: pa.Table, counts: pa.Table) -> pa.Table:
         ids, texts = rows.column("id").to_pylist(), rows.column("text")
-        parts = list(slices([len(t.as_py() or "") for t in texts], CHARS_AT_ONCE))
-        found = [tokens(texts.slice(a, b - a).to_pylist()) for a, b in parts]
-        known = np.unique(np.concatenate([np.array([START]), *(np.unique(token) for token, _ in found)]))
-        pairs = np.unique(np.concatenate([np.zeros(0, np.uint64), *(np.unique(pair_hash(firsts(*x), x[0])) for x in found)]))
-        by_shard, order, at_ = _split(known, np.arange(len(known)), shards)
-        pairs_by_shard, pair_order, pair_at = _split(pairs, np.arange(len(pairs)), shards)
-        answer = counts.sort_by("shard")
+        found = [tokens(texts.slice(a, b - a).to_pylist()) for a, b in slices([len(t.as_py() or "") for t in texts], CHARS_AT_ONCE)]
+        token = np.concatenate([t for t, _ in found])
+        bounds = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(b) for _, b in found]))])
+        known, at = distinct(np.append(token, START))
+        pairs, pair_at = distinct(pair_hash(firsts(token, bounds), token))
+        by_shard, order, cuts = _split(known, np.arange(len(known)), shards)
+        pairs_by_shard, pair_order, pair_cuts = _split(pairs, np.arange(len(pairs)), shards)
         exact, held, pair_held = np.zeros(len(known)), np.zeros(len(known)), np.zeros(len(pairs))
-        column = {n: answer.column(n).to_pylist() for n in answer.column_names}
-        ok = column["shard"] == list(range(shards)) if len(ids) else True
-        for i in range(shards if ok and len(ids) else 0):
-            x, y, p, q = at_[i], at_[i + 1], pair_at[i], pair_at[i + 1]
-            ok &= _check(by_shard[x:y], (pairs_by_shard[p:q] // np.uint64(shards)).astype("<u4")) == column["check"][i]
+        answer = {r["shard"]: r for r in counts.to_pylist()}
+        some = np.flatnonzero((np.diff(cuts) > 0) | (np.diff(pair_cuts) > 0)).tolist()
+        ok = sorted(answer) == some
+        for i in some if ok else ():
+            x, y, p, q = cuts[i], cuts[i + 1], pair_cuts[i], pair_cuts[i + 1]
+            ok = ok and _check(by_shard[x:y], (pairs_by_shard[p:q] // np.uint64(shards)).astype("<u4")) == answer[i]["check"]
             if ok:
-                exact[order[x:y]] = np.frombuffer(column["counts"][i], "<u8")
-                held[order[x:y]] = np.frombuffer(zlib.decompress(column["levels"][i]), np.uint8)
-                pair_held[pair_order[p:q]] = np.frombuffer(zlib.decompress(column["pair_levels"][i]), np.uint8)
+                exact[order[x:y]] = np.frombuffer(answer[i]["counts"], "<u8")
+                held[order[x:y]] = np.frombuffer(zlib.decompress(answer[i]["levels"]), np.uint8)
+                pair_held[pair_order[p:q]] = np.frombuffer(zlib.decompress(answer[i]["pair_levels"]), np.uint8)
         if not ok:
             raise RuntimeError("documents came in another order when they were read again; checkpoint them first")
-        held, pair_held = level_counts(held), level_counts(pair_held)
-        base = np.log10(exact + 0.5) - blank
-        out = [[] for _ in range(4)]
-        for token, bounds in found:
-            at = np.searchsorted(known, token)
-            before = firsts(token, bounds)
-            paired = pair_held[np.searchsorted(pairs, pair_hash(before, token))]
-            first = held[np.searchsorted(known, before)]
-            word = (held[at] + 0.5) / (n_train + 0.5 * (n_words + 1))
-            chance = PAIR * np.minimum(1.0, paired / np.maximum(first, 1.0)) + (1 - PAIR) * np.minimum(1.0, word)
-            starts = bounds[:-1]
-            for column, x in zip(out, (np.diff(bounds), np.add.reduceat(exact[at] > 0, starts, dtype=np.int64), np.add.reduceat(base[at], starts), np.add.reduceat(np.log10(chance), starts))):
-                column.append(x)
-        total, n_known, base_score, scores = (np.concatenate(c) for c in out)
-        return pa.table([pa.array(ids, pa.int64()), pa.array([not is_training(i) for i in ids]), pa.array(total), pa.array(n_known), pa.array(np.full(len(ids), n_train)), pa.array(base_score), pa.array(scores)], [id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        held, pair_held, starts = level_counts(held), level_counts(pair_held), bounds[:-1]
+        at, begin = at[:-1], at[-1]
+        before = np.concatenate([[begin], at[:-1]])
+        before[starts] = begin
+        word = np.minimum(1.0, (held + 0.5) / (n_train + 0.5 * (n_words + 1)))[at]
+        chance = PAIR * np.minimum(1.0, pair_held[pair_at] / np.maximum(held, 1.0)[before]) + (1 - PAIR) * word
+        base, seen = (np.log10(exact + 0.5) - blank)[at], (exact > 0)[at]
+        columns = [np.diff(bounds), np.add.reduceat(seen, starts, dtype=np.int64), np.full(len(ids), n_train), np.add.reduceat(base, starts), np.add.reduceat(np.log10(chance), starts)]
+        return pa.table([pa.array(ids, pa.int64()), pa.array([not is_training(i) for i in ids]), *(pa.array(c) for c in columns)], [id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     placed = source.mapInArrow(place, "id long, text string, block long")
     answers = gathered.filter("block is not null").select("block", "shard", "counts", "levels", "pair_levels", "check")
