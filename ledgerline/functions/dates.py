@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from calendar import monthrange
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,20 +38,35 @@ def in_fiscal_scope(year: Column, month: Column, business_year: int, annual: boo
     return same | ((year == business_year + 1) & (month <= 6)) if annual else same
 
 
-def split_windows(spark: SparkSession, start: str, end: str, months: int = WINDOW_MONTHS) -> DataFrame:
-    """(pos, bgn_de, end_de): inclusive windows of at most ``months`` calendar months; each begins after the last ends."""
-    if not (re.fullmatch(r"\d{8}", start) and re.fullmatch(r"\d{8}", end)):
+def add_months(day: date, months: int) -> date:
+    """The same day some months on, or the last day of that month."""
+    year, month = divmod(day.year * 12 + day.month - 1 + months, 12)
+    return date(year, month + 1, min(day.day, monthrange(year, month + 1)[1]))
+
+
+def parse_day(said: str) -> date:
+    if not re.fullmatch(r"[0-9]{8}", said):
         raise ValueError("dates are YYYYMMDD")
-    if start > end:
+    return datetime.strptime(said, "%Y%m%d").date()
+
+
+def windows(start: str, end: str, months: int = WINDOW_MONTHS) -> list[tuple[str, str]]:
+    """Inclusive windows of at most ``months`` calendar months; each begins after the last ends."""
+    first, last, out = parse_day(start), parse_day(end), []
+    if first > last:
         raise ValueError("start lies after end")
-    return spark.sql(
-        f"""
-        WITH RECURSIVE w(pos, a, b) AS (
-          SELECT 0, d, least(date_sub(add_months(d, {int(months)}), 1), to_date('{end}', 'yyyyMMdd')) FROM (SELECT to_date('{start}', 'yyyyMMdd') AS d)
-          UNION ALL
-          SELECT pos + 1, date_add(b, 1), least(date_sub(add_months(date_add(b, 1), {int(months)}), 1), to_date('{end}', 'yyyyMMdd')) FROM w
-          WHERE b < to_date('{end}', 'yyyyMMdd')
-        )
-        SELECT pos, date_format(a, 'yyyyMMdd') AS bgn_de, date_format(b, 'yyyyMMdd') AS end_de FROM w
-        """
-    )
+    while first <= last:
+        until = min(add_months(first, months) - timedelta(days=1), last)
+        out.append((f"{first:%Y%m%d}", f"{until:%Y%m%d}"))
+        first = until + timedelta(days=1)
+    return out
+
+
+def split_windows(spark: SparkSession, start: str, end: str, months: int = WINDOW_MONTHS) -> DataFrame:
+    """(pos, bgn_de, end_de) of ``windows``, for any number of them."""
+    return spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(windows(start, end, months))], "pos int, bgn_de string, end_de string")
+
+
+def default_range(start: str, end: str, today: str, years: int = 10) -> tuple[str, str]:
+    """Missing ends filled in: today, and January 1 some years back. The caller says what day it is."""
+    return start or f"{parse_day(today).year - years}0101", end or today

@@ -25,8 +25,11 @@ def blank(c: Column) -> Column:
 
 
 def markup_to_text(c: Column) -> Column:
-    """Tags and entities become spaces, white space is collapsed; bytes are read as UTF-8 with replacement."""
-    text = F.regexp_replace(F.regexp_replace(c, r"<[^>]*>", " "), r"&[#A-Za-z0-9]+;", " ")
+    """Tags and entities become spaces, white space is collapsed; bytes are read as UTF-8 with replacement.
+
+    ``<>`` is no tag and stays.
+    """
+    text = F.regexp_replace(F.regexp_replace(c, r"<[^>]+>", " "), r"&[#A-Za-z0-9]+;", " ")
     return collapse(text)
 
 
@@ -92,11 +95,11 @@ def terms_found(text: Column, dictionary: Sequence[tuple[str, str]], exclusions:
 
 
 def snippet(text: Column, term: Column, radius: int = 80, fallback: int = 240) -> Column:
-    """Text around the first raw occurrence of a term; the beginning where it does not occur."""
+    """Text around the first raw occurrence of a term; the beginning where it does not occur. Stripped."""
     at = F.call_function("locate", term, text, F.lit(1))
     start = F.greatest(F.lit(1), at - radius)
     around = F.substring(text, start, at + F.length(term) + radius - start)
-    return F.when(at > 0, around).otherwise(F.substring(text, F.lit(1), F.lit(fallback)))
+    return strip(F.when(at > 0, around).otherwise(F.substring(text, F.lit(1), F.lit(fallback))))
 
 
 def last_match(text: Column, pattern: str) -> Column:
@@ -133,5 +136,20 @@ def hide_parameter(c: Column, name: str, instead: str = "***") -> Column:
     return F.regexp_replace(c, rf"{name}=[^&\s]*", f"{name}={instead}")
 
 
+def hide_value(c: Column, secret: str, instead: str = "***") -> Column:
+    """Masks a secret wherever it stands; an empty secret masks nothing."""
+    return F.replace(c, F.lit(secret), F.lit(instead)) if secret else c
+
+
+def hide_key(parameters: Column, name: str, instead: str = "***") -> Column:
+    """Masks the value of one key in a map of parameters."""
+    return F.transform_values(parameters, lambda k, v: F.when(k == name, F.lit(instead)).otherwise(v))
+
+
+def account_name(name: Column, detail: Column) -> Column:
+    """An account's name, indented and with its detail in brackets where there is one."""
+    return F.when(~F.coalesce(detail, F.lit("")).isin("", "-"), F.concat(F.lit("  "), name, F.lit(" ("), detail, F.lit(")"))).otherwise(name)
+
+
 def base_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)

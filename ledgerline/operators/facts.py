@@ -36,18 +36,18 @@ def choose_documents(files: DataFrame) -> DataFrame:
     return best.filter("x.__rank < 3 or n = 1").select("rcept_no", F.col("x.path").alias("path"))
 
 
-def opinion_paragraph(text: Column) -> Column:
-    """From the earliest opinion header to the next landmark; without a deciding phrase in it, the opinion's sentence."""
-    first = T.first_landmark(text, D.OPINION_HEADERS)
-    start = first["at"] + F.length(first["mark"])
-    ends = F.array(*(F.struct(F.lit(m).alias("mark"), F.nullif(T.landmark(text, m, start), F.lit(0)).alias("at")) for m in D.SECTION_LANDMARKS))
-    end = F.coalesce(F.array_min(F.transform(F.filter(ends, lambda e: e["mark"] != first["mark"]), lambda e: e["at"])), F.length(text) + 1)
+def opinion_paragraph(text: Column, first: Column | None = None) -> Column:
+    """From the earliest opinion header to the next landmark; without a deciding phrase in it, the opinion's sentence.
+
+    ``first`` is the header's place (``text.first_landmark``), best a column of its own.
+    """
+    first = T.first_landmark(text, D.OPINION_HEADERS) if first is None else first
+    end = T.next_landmark(text, first["at"] + F.length(first["mark"]), D.SECTION_LANDMARKS)
     paragraph = F.coalesce(T.strip(F.substring(text, first["at"], F.least(end - first["at"], F.lit(1200)))), F.lit(""))
     decided = F.lit(False)
     for marker in D.OPINION_MARKERS:
         decided = decided | paragraph.contains(marker)
-    sentence = F.regexp_extract(text, D.OPINION_SENTENCE_PATTERN, 0)
-    return F.when(decided | (sentence == ""), paragraph).otherwise(sentence)
+    return F.when(decided, paragraph).otherwise(F.coalesce(F.nullif(F.regexp_extract(text, D.OPINION_SENTENCE_PATTERN, 0), F.lit("")), paragraph))
 
 
 def going_concern(text: Column) -> Column:
@@ -61,42 +61,72 @@ def going_concern(text: Column) -> Column:
 
 
 def parse_reports(reports: DataFrame, content: str = "content", filer: str = "flr_nm") -> DataFrame:
-    """One fact for each report: metadata passed through, parsed fields, and sorted flags for what was not found.
+    """One fact for each report: metadata passed through, parsed fields, and sorted flags for what was found.
 
-    A null or empty document gives an unknown opinion and empty sections. Stages are columns of their own, so that a
-    text is stripped of its markup once.
+    The auditor is the filer; another signature in the text is flagged as ``auditor_mismatch``. A null or empty document
+    gives an unknown opinion and empty sections. Stages are columns of their own, so that a text is stripped of its
+    markup once.
     """
-    meta = {c: F.coalesce(F.col(c), F.lit("")) if c in reports.columns else F.lit("") for c in (*PASSED, filer)}
+    kept = (*PASSED, "doc_path", filer)
+    meta = {c: F.coalesce(F.col(c), F.lit("")) if c in reports.columns else F.lit("") for c in kept}
     staged = reports.withColumns(meta).withColumn("full_text", F.coalesce(T.bytes_to_text(F.col(content)), F.lit("")))
     text = F.col("full_text")
-    staged = staged.withColumns(
+    staged = staged.withColumn("first", T.first_landmark(text, D.OPINION_HEADERS)).withColumns(
         {
-            "signature": F.regexp_replace(T.last_match(text, D.SIGNATURE_PATTERN), T.SPACES, ""),
-            "opinion_snippet": opinion_paragraph(text),
+            "signature": F.when(F.col(filer) != "", F.regexp_replace(T.last_match(text, D.SIGNATURE_PATTERN), T.SPACES, "")).otherwise(""),
+            "paragraph": opinion_paragraph(text, F.col("first")),
             "gc": going_concern(text),
             "kam_raw": T.section(text, D.KEY_MATTERS, D.SECTION_LANDMARKS),
             "emphasis_raw": T.section(text, D.EMPHASIS, D.SECTION_LANDMARKS),
             "period": fiscal_period(F.col("report_name"), text, F.col("rcept_dt")),
         }
     )
-    auditor = F.when(F.col(filer) != "", F.col(filer)).otherwise(F.col("signature"))
-    squeezed = F.regexp_replace(F.col(filer), T.SPACES, "")
-    opinion = T.classify(F.col("opinion_snippet"), D.OPINION_RULES, D.UNKNOWN)
+    opinion, auditor = T.classify(F.col("paragraph"), D.OPINION_RULES, D.UNKNOWN), F.col(filer)
     flags = F.array(
-        F.when(auditor == "", "auditor"),
-        F.when((squeezed != "") & (F.col("signature") != "") & ~F.col("signature").contains(squeezed), "auditor_mismatch"),
-        F.when(opinion == D.UNKNOWN, "opinion"),
-        F.when(F.col("period").isNull(), "fiscal_year"),
+        F.when(auditor != "", "auditor"),
+        F.when((F.col("signature") != "") & (F.regexp_replace(auditor, T.SPACES, "") != F.col("signature")), "auditor_mismatch"),
+        F.when(opinion != D.UNKNOWN, "opinion"),
+        F.when(F.col("gc").isNotNull(), "going_concern"),
+        F.when(F.col("kam_raw") != "", "kam"),
+        F.when(F.col("period").isNotNull(), "fiscal_year"),
     )
     return staged.select(
         *PASSED,
         F.col("period.year").alias("fiscal_year"), F.col("period.month").alias("settlement_month"), auditor.alias("auditor"), opinion.alias("audit_opinion"),
-        "opinion_snippet", F.col("gc").isNotNull().alias("going_concern"), F.coalesce("gc", F.lit("")).alias("going_concern_snippet"),
+        F.substring("paragraph", 1, 400).alias("opinion_snippet"), F.col("gc").isNotNull().alias("going_concern"), F.coalesce("gc", F.lit("")).alias("going_concern_snippet"),
         (F.col("kam_raw") != "").alias("kam_present"), "kam_raw", "emphasis_raw", F.array().cast("array<string>").alias("kam_tags"),
-        F.sort_array(F.filter(flags, lambda x: x.isNotNull())).alias("parse_flags"),
+        F.sort_array(F.filter(flags, lambda x: x.isNotNull())).alias("parse_flags"), "doc_path",
     )
 
 
+#: What a line of facts may hold; texts default to nothing, the opinion to unknown.
+_LINE = "rcept_no string, corp_code string, corp_name string, corp_cls string, stock_code string, report_name string, rcept_dt string, category string, fiscal_year string, settlement_month string, auditor string, audit_opinion string, opinion_snippet string, going_concern string, going_concern_snippet string, kam_present string, kam_raw string, emphasis_raw string, kam_tags array<string>, parse_flags array<string>, source_url string, doc_path string"
+
+
+def read_facts(lines: DataFrame, line: str = "value") -> tuple[DataFrame, DataFrame]:
+    """(facts, corrupt lines): JSON lines read back with defaults.
+
+    Blank lines are skipped. A line that is no JSON object, or whose year or month is no whole number, is corrupt.
+    """
+    own = lines.filter(~T.blank(F.col(line))).withColumn("__kind", F.schema_of_variant(F.try_parse_json(F.col(line)))).withColumn("__x", F.from_json(line, _LINE))
+    whole = lambda c: T.strip(F.col(f"__x.{c}")).try_cast("int")
+    bad = lambda c: F.col(f"__x.{c}").isNotNull() & whole(c).isNull()
+    fine = F.coalesce(F.col("__kind").startswith("OBJECT") & ~bad("fiscal_year") & ~bad("settlement_month"), F.lit(False))
+    columns = []
+    for name, kind in (part.split() for part in _LINE.split(", ")):
+        value = F.col(f"__x.{name}")
+        if name in ("fiscal_year", "settlement_month"):
+            value = whole(name)
+        elif name in ("going_concern", "kam_present"):
+            value = F.coalesce(~F.lower(value).isin("", "false", "0", "0.0", "[]", "{}"), F.lit(False))
+        elif kind == "array<string>":
+            value = F.coalesce(value, F.array().cast(kind))
+        else:
+            value = F.coalesce(F.when(value != "", value), F.lit(D.UNKNOWN if name == "audit_opinion" else ""))
+        columns.append((F.sort_array(F.array_distinct(value)) if name == "parse_flags" else value).alias(name))
+    return own.filter(fine).select(*columns), own.filter(~fine).select(line)
+
+
 def to_audit_records(facts: DataFrame) -> DataFrame:
     """Facts as structured audit records."""
     year = F.col("fiscal_year").cast("string")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MOST_ROWS_A_PAGE = 100
@@ -55,11 +55,42 @@ def in_classes(df: DataFrame, column: str, classes: Sequence[str]) -> DataFrame:
 
 
 def without_markers(df: DataFrame, column: str, markers: Sequence[str]) -> DataFrame:
+    """Rows whose name holds none of the markers; a null name holds none."""
     for marker in markers:
-        df = df.filter(~F.col(column).contains(marker))
+        df = df.filter(~F.coalesce(F.col(column).contains(marker), F.lit(False)))
     return df
 
 
+def required(**values: str | None) -> None:
+    """An error that names the first argument that is missing or blank, before anything is read."""
+    for name, value in values.items():
+        if value is None or not str(value).strip():
+            raise ValueError(f"{name} is required")
+
+
+def parse_list(said: str) -> list[str]:
+    """The parts of a comma list, stripped, without blank ones."""
+    return [p.strip() for p in said.split(",") if p.strip()]
+
+
+def of_companies(df: DataFrame, codes: str, column: str = "corp_code") -> DataFrame:
+    """The rows of one company or of a comma list of companies; no code is an error."""
+    required(**{column: codes})
+    return df.filter(F.col(column).isin(*parse_list(codes)))
+
+
+def write_dataset(df: DataFrame, path: str, by: str = "report_type") -> None:
+    """One folder for each type of report, so that reads of one type touch no other."""
+    df.write.mode("overwrite").partitionBy(by).parquet(path)
+
+
+def read_dataset(spark: SparkSession, path: str, kind: str, known: Mapping[str, str], codes: str, dates: tuple[str, str] = ("", ""), by: str = "report_type", day: str = "rcept_dt", **equal: object) -> DataFrame:
+    """One company's reports of one type, in a range of dates: the type prunes folders, the rest reaches the scan."""
+    dataset_of(kind, known)
+    found = of_companies(spark.read.parquet(path).filter(F.col(by) == kind), codes)
+    return matching(found, equal, {day: dates})
+
+
 def limited(df: DataFrame, pos: str, n: int | None) -> DataFrame:
     return df if n is None else df.orderBy(pos).limit(max(0, n))
 
@@ -79,6 +110,17 @@ def union_branches(branches: Sequence[DataFrame]) -> DataFrame:
     return first
 
 
+def answered(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, error) of several scans at once (with ``status`` and ``message``): scans that failed are left out.
+
+    ``error`` has one row, the last failure's status and message, only if no scan gave a row.
+    """
+    fine = F.coalesce("status", F.lit("")).isin("", "000", "013")
+    rows = pages.filter(fine & (F.coalesce("status", F.lit("")) != "013")).drop("status", "message")
+    failed = pages.filter(~fine).agg(F.max_by(F.struct("status", "message"), "task").alias("x")).filter("x is not null").select("x.*")
+    return rows, failed.join(rows.limit(1), how="left_anti")
+
+
 def explode_groups(payload: DataFrame, raw: str = "payload") -> DataFrame:
     """Rows of a registration payload: lists inside groups, which win when there are any, else the flat list."""
     shape = "struct<group:array<struct<title:string,list:array<map<string,string>>>>,list:array<map<string,string>>>"

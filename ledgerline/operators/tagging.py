@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..dictionaries import TAGS
 from ..functions.tags import parse_reply
 from ..functions.text import blank, content_hash
+from ..session import cut_lineage
 
 
 def taggable(facts: DataFrame) -> DataFrame:
@@ -37,14 +38,19 @@ def ask(texts: DataFrame, call: Callable[[str], str], text: str) -> DataFrame:
 
 
 def tag(facts: DataFrame, call: Callable[[str], str], model: str, tagged_at: str, cache: DataFrame | None = None, vocabulary: Sequence[str] = TAGS, calls_at_once: int = 4) -> tuple[DataFrame, DataFrame]:
-    """(tags for each fact, new cache entries). Facts whose call failed have null tags and an error."""
+    """(tags for each fact, new cache entries). Facts whose call failed have null tags and an error.
+
+    The answers are written to the checkpoint folder at once, so that no use of the results asks again.
+    """
     keyed = taggable(facts).withColumn("kam_hash", content_hash(F.lit(model), F.col("kam_raw")))
     texts = keyed.groupBy("kam_hash").agg(F.first("kam_raw").alias("kam_raw"))
     if cache is not None:
         texts = texts.join(cache.select("kam_hash"), "kam_hash", "left_anti")
     asked = ask(texts.repartition(calls_at_once, "kam_hash"), call, "kam_raw")
-    answers = asked.withColumn("parsed", F.when(F.col("error").isNull(), parse_reply(F.col("reply"), vocabulary)))
+    answers = cut_lineage(asked).withColumn("parsed", F.when(F.col("error").isNull(), parse_reply(F.col("reply"), vocabulary)))
     fresh = answers.select("kam_hash", "parsed.tags", "parsed.dropped", "error")
-    known = fresh if cache is None else fresh.unionByName(cache.select("kam_hash", "tags", "dropped", F.lit(None).cast("string").alias("error")))
-    tagged = keyed.join(known, "kam_hash").select("rcept_no", "tags", "dropped", "kam_hash", F.lit(model).alias("model"), F.lit(tagged_at).alias("tagged_at"), "error")
+    known = fresh.withColumn("cache_hit", F.lit(False))
+    if cache is not None:
+        known = known.unionByName(cache.select("kam_hash", "tags", "dropped", F.lit(None).cast("string").alias("error"), F.lit(True).alias("cache_hit")))
+    tagged = keyed.join(known, "kam_hash").select("rcept_no", "tags", "dropped", "kam_hash", F.lit(model).alias("model"), F.lit(tagged_at).alias("tagged_at"), "error", "cache_hit")
     return tagged, fresh.filter("error is null").drop("error")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import dictionaries as D
 from ..functions import dates, tags
 from ..functions import text as T
-from ..operators import aggregates, collect, dedup, facts, lookup, search, topics
+from ..operators import aggregates, collect, dedup, lookup, search, topics
 from ..session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,9 +141,8 @@ def dedup_full_row(spark, sf_dir):
     """
 )
 def latest_per_period(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").withColumn("ym", F.date_format("o_orderdate", "yyyy-MM"))
-    periods = orders.groupBy("o_custkey", "ym").agg(F.max_by("o_orderkey", F.struct("o_orderdate", "o_orderkey")).alias("o_orderkey"))
-    return periods.groupBy("o_custkey").agg(F.min_by("o_orderkey", "ym").alias("first_order"), F.max_by("o_orderkey", "ym").alias("last_order"))
+    found = aggregates.latest_of_periods(table(spark, sf_dir, "orders"), "o_custkey", F.date_format("o_orderdate", "yyyy-MM"), F.struct("o_orderdate", "o_orderkey"), "o_orderkey")
+    return found.select("o_custkey", F.col("first").alias("first_order"), F.col("last").alias("last_order"))
 
 
 @query("SELECT d.doc_id, coalesce(l.quality, -1) AS quality, l.doc_id IS NOT NULL AS matched FROM documents d LEFT JOIN (SELECT doc_id, arg_max(quality, toxic) AS quality FROM labels GROUP BY doc_id) l USING (doc_id)")
@@ -176,14 +175,14 @@ def state_union_recovered(spark, sf_dir):
 @query(
     """
     WITH k AS (SELECT doc_id, sha256('m' || chr(10) || coalesce(text, '')) AS kam_hash FROM documents),
-    c AS (SELECT kam_hash, min(doc_id) AS cached FROM k WHERE doc_id < 500 GROUP BY kam_hash)
+    c AS (SELECT kam_hash, min(doc_id) AS cached FROM k WHERE doc_id IN (SELECT doc_id FROM labels) GROUP BY kam_hash)
     SELECT k.doc_id, k.kam_hash, c.cached FROM k JOIN c USING (kam_hash)
     UNION ALL SELECT NULL, kam_hash, NULL FROM (SELECT DISTINCT kam_hash FROM k WHERE kam_hash NOT IN (SELECT kam_hash FROM c))
     """
 )
 def cache_probe(spark, sf_dir):
     keyed = _text(spark, sf_dir).select("doc_id", T.content_hash(F.lit("m"), F.col("text")).alias("kam_hash"))
-    cache = keyed.filter("doc_id < 500").groupBy("kam_hash").agg(F.min("doc_id").alias("cached"))
+    cache = keyed.join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi").groupBy("kam_hash").agg(F.min("doc_id").alias("cached"))
     hits, missing = lookup.probe_cache(keyed, cache, "kam_hash")
     return hits.unionByName(missing, allowMissingColumns=True)
 
@@ -281,7 +280,7 @@ def union_classes(spark, sf_dir):
     return search.union_branches([events.filter(F.col("event_type") == c).select("event_id", F.lit(c).alias("class")) for c in ("view", "signup", "purchase", "error")])
 
 
-_PAGE_TEXT = r"trim(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '<[^>]*>', ' ', 'g'), '&[#A-Za-z0-9]+;', ' ', 'g'), '[\s\x0b\x1c-\x1f\x{85}\p{Z}]+', ' ', 'g'))"
+_PAGE_TEXT = r"trim(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '<[^>]+>', ' ', 'g'), '&[#A-Za-z0-9]+;', ' ', 'g'), '[\s\x0b\x1c-\x1f\x{85}\p{Z}]+', ' ', 'g'))"
 
 
 @query(f"SELECT page_id, {_PAGE_TEXT} AS text FROM pages")
@@ -330,7 +329,7 @@ def last_regex_match(spark, sf_dir):
 
 @query(
     """
-    SELECT doc_id, CASE WHEN strpos(text, 'tion') > 0 THEN substr(text, greatest(1, strpos(text, 'tion') - 80), strpos(text, 'tion') + 84 - greatest(1, strpos(text, 'tion') - 80)) ELSE substr(text, 1, 240) END AS snippet
+    SELECT doc_id, trim(CASE WHEN strpos(text, 'tion') > 0 THEN substr(text, greatest(1, strpos(text, 'tion') - 80), strpos(text, 'tion') + 84 - greatest(1, strpos(text, 'tion') - 80)) ELSE substr(text, 1, 240) END, ' ' || chr(9) || chr(10) || chr(13)) AS snippet
     FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)
     """
 )
@@ -342,27 +341,30 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = _text(spark, sf_dir).join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
     quality = F.coalesce(F.col("quality").cast("string"), F.lit(""))
     return joined.select(
-        F.col("lang").alias("corp_code"), F.col("source").alias("corp_name"), F.when(quality == "0", "x").otherwise("2024").alias("bsns_year"), F.col("doc_id").cast("string").alias("rcept_no"),
-        F.col("source").alias("auditor"), F.when(quality == "1", "적정").otherwise("unknown").alias("audit_opinion"), F.lit("-").alias("special_matter"), F.substring("text", 1, 300).alias("emphasis_matter"), F.lit("").alias("core_audit_matter"), F.lit("").alias("source_url"),
+        F.concat(F.lit(" "), "lang").alias("corp_code"), F.col("source").alias("corp_name"), F.when(quality == "0", "x").otherwise(" 2024").alias("bsns_year"), F.concat(F.col("doc_id").cast("string"), F.lit(" ")).alias("rcept_no"),
+        F.col("source").alias("auditor"), F.when(quality == "1", "적정").otherwise("unknown").alias("audit_opinion"), F.lit("-").alias("special_matter"), F.col("text").alias("emphasis_matter"), F.when(quality == "1", "core").otherwise(" - ").alias("core_audit_matter"), F.lit("").alias("source_url"),
     )
 
 
+_TERMS_SQL = _TAGS_SQL.replace("'article'", "'the'").replace("'relation'", "' of '").replace("'joiner'", "'and'").replace("'german'", "'der'").replace("'spanish'", "'los'").replace("'french'", "'les'")
 _CASES_SQL = f"""
-    WITH j AS (SELECT d.doc_id, d.lang, d.source, coalesce(CAST(l.quality AS VARCHAR), '') AS q, substr(coalesce(d.text, ''), 1, 300) AS em FROM documents d LEFT JOIN labels l USING (doc_id)),
-    r AS (SELECT *, CASE WHEN q = '1' THEN '적정' ELSE 'unknown' END AS op FROM j WHERE q <> '0' AND lang IS NOT NULL),
-    t AS (SELECT *, op || ' -' || CASE WHEN em <> '' THEN ' ' || em ELSE '' END AS text, trim(regexp_replace(em, '\\s+', ' ', 'g')) AS ems FROM r),
-    g AS (SELECT *, {_TAGS_SQL} AS tags FROM t)
-    SELECT 'case-' || lang || '-2024-' || doc_id || '-' || coalesce(tags[1], 'general') || '-' || substr(sha256(coalesce(source, '') || '|' || op || '|-|' || em || '|'), 1, 8) AS case_id,
-           CASE WHEN len(tags) > 0 THEN array_to_string(tags, ',') ELSE 'general' END AS topic_tags,
-           (CAST(coalesce(source, '') NOT IN ('', '-') AS INTEGER) + CAST(op <> 'unknown' AS INTEGER) + CAST(ems NOT IN ('', '-') AS INTEGER)) / 4.0::DOUBLE AS extraction_confidence
-    FROM g
+    WITH j AS (SELECT d.doc_id, d.lang, coalesce(d.source, '') AS source, coalesce(CAST(l.quality AS VARCHAR), '') AS q, coalesce(d.text, '') AS em FROM documents d LEFT JOIN labels l USING (doc_id)),
+    r AS (SELECT *, CASE WHEN q = '1' THEN '적정' ELSE 'unknown' END AS op, CASE WHEN q = '1' THEN 'core' ELSE ' - ' END AS core FROM j WHERE q <> '0' AND lang IS NOT NULL),
+    t AS (SELECT *, op || ' -' || CASE WHEN em <> '' THEN ' ' || em ELSE '' END || ' ' || core AS text, trim(regexp_replace(em, '\\s+', ' ', 'g')) AS ems FROM r),
+    g AS (SELECT *, {_TAGS_SQL} AS slugs, {_TERMS_SQL} AS terms FROM t),
+    p AS (SELECT *, CASE WHEN len(terms) > 0 THEN strpos(text, terms[1]) ELSE 0 END AS place FROM g)
+    SELECT 'case-' || lang || '-2024-' || doc_id || '-' || coalesce(slugs[1], 'general') || '-' || substr(sha256(source || '|' || op || '|-|' || em || '|' || core), 1, 8) AS case_id,
+           array_to_string(terms, ',') AS topic_tags, 'https://filings.example/' || doc_id AS source_url,
+           trim(CASE WHEN place > 0 THEN substr(text, greatest(1, place - 80), place + length(terms[1]) + 80 - greatest(1, place - 80)) ELSE substr(text, 1, 240) END, ' ' || chr(9) || chr(10) || chr(13)) AS disclosure_snippet,
+           (CAST(source NOT IN ('', '-') AS INTEGER) + CAST(op <> 'unknown' AS INTEGER) + CAST(q = '1' AS INTEGER) + CAST(ems NOT IN ('', '-') AS INTEGER)) / 4.0::DOUBLE AS extraction_confidence
+    FROM p
 """
 
 
 @query(_CASES_SQL)
 def topic_case(spark, sf_dir):
-    cases, _ = topics.topic_cases(_records(spark, sf_dir), "2025-01-01T00:00:00Z", WORDS, LONGER)
-    return cases.select("case_id", F.array_join("topic_tags", ",").alias("topic_tags"), "extraction_confidence")
+    cases, _ = topics.topic_cases(_records(spark, sf_dir), "2025-01-01T00:00:00Z", WORDS, LONGER, url="https://filings.example/%s")
+    return cases.select("case_id", F.array_join("topic_tags", ",").alias("topic_tags"), "source_url", "disclosure_snippet", "extraction_confidence")
 
 
 @query("SELECT 'invalid_fiscal_year' AS reason, count(*) AS n FROM documents JOIN labels USING (doc_id) WHERE quality = 0 HAVING count(*) > 0")
@@ -429,21 +431,4 @@ def receipt_period(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", period.alias("p")).select("o_orderkey", F.col("p.year").alias("fiscal_year"), F.col("p.month").alias("settlement_month"))
 
 
-@query()
-def report_facts(spark, sf_dir):
-    """The whole parse of the pages as if they were reports; the tests hold it against written cases."""
-    pages = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("rcept_no"), F.col("url").alias("source_url"), F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("content"))
-    return facts.parse_reports(pages).select("rcept_no", "audit_opinion", "opinion_snippet", "going_concern", "kam_present", "fiscal_year", F.array_join("parse_flags", ",").alias("parse_flags"))
-
-
-@query(
-    """
-    WITH a AS (SELECT l_suppkey, sum(CASE WHEN l_linestatus = 'F' THEN CAST(round(l_extendedprice * 100) AS BIGINT) END) AS cfs, sum(CASE WHEN l_linestatus <> 'F' THEN CAST(round(l_extendedprice * 100) AS BIGINT) END) AS ofs FROM lineitem GROUP BY l_suppkey)
-    SELECT s_suppkey, CAST(coalesce(cfs, ofs) // 100000 AS BIGINT) AS amount FROM supplier LEFT JOIN a ON l_suppkey = s_suppkey
-    """
-)
-def short_form_export(spark, sf_dir):
-    """Amounts in thousands, one kind of statement preferred over the other."""
-    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
-    sums = table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.sum(F.when(F.col("l_linestatus") == "F", cents)).alias("cfs"), F.sum(F.when(F.col("l_linestatus") != "F", cents)).alias("ofs"))
-    return table(spark, sf_dir, "supplier").join(sums, F.col("s_suppkey") == F.col("l_suppkey"), "left").select("s_suppkey", F.expr("coalesce(cfs, ofs) div 100000").alias("amount"))
+from . import filings  # noqa: E402, F401  (registers its queries)

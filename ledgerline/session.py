@@ -44,6 +44,13 @@ def remove(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder, wherever Spark keeps it; none for a missing folder."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(x.getPath().getName() for x in files.listStatus(place)) if files.exists(place) else []
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """``checkpoint()`` in the shared folder, so that a lost executor loses no result."""
     checkpoint_dir(df.sparkSession)

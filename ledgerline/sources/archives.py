@@ -3,31 +3,41 @@
 from __future__ import annotations
 
 import io
+import json
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import text as T
 from ..operators.facts import document_head, entry_kind
 
 ENTRY = "path string, entry_pos int, filename string, size long, content binary, error string"
 
 
 def explode_archives(files: DataFrame) -> DataFrame:
-    """Entries of (path, content) archives. One archive is open at a time, one entry in memory."""
+    """Entries of (path, content) archives; one archive is open at a time.
+
+    An archive of which any entry cannot be read is one row with an error and no other. A body that is JSON in place of
+    an archive is the error ``json``, its message in ``filename``.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [part.split()[0] for part in ENTRY.split(", ")]
         for frame in frames:
             for path, content in zip(frame["path"], frame["content"]):
                 try:
+                    if (content or b"").lstrip()[:1] == b"{":
+                        yield pd.DataFrame([(path, None, str(json.loads(content).get("message", "")), None, None, "json")], columns=names).astype({"entry_pos": "Int32", "size": "Int64"})
+                        continue
                     with zipfile.ZipFile(io.BytesIO(content or b"")) as archive:
                         entries = [i for i in archive.infolist() if not i.is_dir() and i.filename.lower().endswith(".xml")]
-                        for pos, info in enumerate(entries):
-                            yield pd.DataFrame([(path, pos, info.filename, info.file_size, archive.read(info), None)], columns=names)
-                except (zipfile.BadZipFile, EOFError, OSError, NotImplementedError, RuntimeError) as e:
+                        rows = [(path, pos, info.filename, info.file_size, archive.read(info), None) for pos, info in enumerate(entries)]
+                    yield pd.DataFrame(rows, columns=names)
+                except (zipfile.BadZipFile, zlib.error, EOFError, OSError, NotImplementedError, RuntimeError, ValueError) as e:
                     yield pd.DataFrame([(path, None, None, None, None, type(e).__name__)], columns=names).astype({"entry_pos": "Int32", "size": "Int64"})
 
     return files.select("path", "content").mapInPandas(run, ENTRY)
@@ -40,6 +50,38 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     return entries.withColumn("document_name", name).withColumn("acode", code).withColumn("kind", F.when(F.col("error").isNull(), entry_kind(F.col("document_name"), F.col("acode"))))
 
 
+def read_master(spark: SparkSession, folder: str) -> DataFrame:
+    """(pos, corp_code, corp_name, stock_code, modify_date) of company master archives: the records of the first XML file.
+
+    A missing element is an empty string. An archive that cannot be read is an error.
+    """
+    entries = explode_archives(spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.zip").load(folder))
+    broken = entries.filter("error is not null").select("path", "error").limit(1).collect()
+    if broken:
+        raise ValueError(f"{broken[0].path}: {broken[0].error}")
+    records = F.posexplode(F.regexp_extract_all(F.col("content").cast("string"), F.lit(r"(?s)<list>.*?</list>"), F.lit(0))).alias("pos", "raw")
+    names = ("corp_code", "corp_name", "stock_code", "modify_date")
+    read = F.from_xml("raw", ", ".join(f"{n} string" for n in names), {"ignoreSurroundingSpaces": "false"})
+    return entries.filter("entry_pos = 0").select(records).withColumn("x", read).select("pos", *(F.coalesce(f"x.{n}", F.lit("")).alias(n) for n in names))
+
+
+def entry_summary(chosen: DataFrame, archives: DataFrame, include: str = "both") -> DataFrame:
+    """(path, kind, requested, found, filename, size) for both kinds of each archive of (path)."""
+    wanted = {"audit": ["audit"], "consolidated": ["consolidated"], "both": ["audit", "consolidated"]}[include]
+    kinds = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.lit(k in wanted).alias("requested")) for k in ("audit", "consolidated"))))
+    asked = archives.select("path").distinct().select("path", kinds.alias("k")).select("path", "k.*")
+    joined = asked.join(chosen, ["path", "kind"], "left")
+    found = F.col("requested") & F.col("filename").isNotNull()
+    return joined.select("path", "kind", "requested", found.alias("found"), F.when(found, F.col("filename")).alias("filename"), F.when(found, F.col("size")).alias("size"))
+
+
+def write_entries(entries: DataFrame, path: str) -> None:
+    """The entries of archives without an error, one folder for each archive; nothing is written for a damaged one."""
+    name = F.regexp_replace(T.base_name(F.col("path")), r"\.[^.]*\z", "")
+    fine = entries.filter("error is null").select(name.alias("archive"), "entry_pos", T.base_name(F.col("filename")).alias("filename"), "size", "content")
+    fine.write.mode("overwrite").partitionBy("archive").parquet(path)
+
+
 def requested_entries(entries: DataFrame, include: str = "both", require_consolidated: bool = False) -> DataFrame:
     """The first audit and the first consolidated entry of each archive, as asked for by ``include``."""
     if include not in ("audit", "consolidated", "both"):

@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..dictionaries import CORRECTION_MARKERS
+from ..functions.text import strip
+from ..operators.search import without_markers
+
 BROKEN = "_corrupt_record"
 
 
@@ -34,11 +42,56 @@ def read_codes(spark: SparkSession, path: str) -> DataFrame:
     return text.select(F.posexplode("x").alias("pos", "rcept_no")).withColumn("rcept_no", F.trim("rcept_no")).filter("rcept_no <> ''")
 
 
+def read_filings(spark: SparkSession, path: str, exclude_corrections: bool = False) -> DataFrame:
+    """(pos, rcept_no, corp_code, corp_name, report_name) of a manifest; blank receipt numbers go, corrections if asked."""
+    rows = read_manifest(spark, path, "rcept_no: string, corp_code: string, corp_name: string, report_name: string").na.fill("")
+    found = without_markers(rows, "report_name", CORRECTION_MARKERS) if exclude_corrections else rows
+    return found.withColumn("rcept_no", strip(F.col("rcept_no"))).filter("rcept_no <> ''")
+
+
+def read_tag_map(lines: DataFrame, pos: str, line: str = "value") -> DataFrame:
+    """(rcept_no, tags), the last line of each receipt number.
+
+    Lines are left out that are no JSON, no object, without a receipt number that is a text, or without a list of tags.
+    """
+    value = F.try_parse_json(F.col(line))
+    of = lambda path: F.schema_of_variant(F.try_variant_get(value, path, "variant"))
+    fine = F.schema_of_variant(value).startswith("OBJECT") & (of("$.rcept_no") == "STRING") & of("$.tags").startswith("ARRAY")
+    told = lines.filter(F.coalesce(fine, F.lit(False))).select(F.col(pos).alias("pos"), F.try_variant_get(value, "$.rcept_no", "string").alias("rcept_no"), F.try_variant_get(value, "$.tags", "array<string>").alias("tags"))
+    return told.filter("rcept_no <> ''").groupBy("rcept_no").agg(F.max_by("tags", "pos").alias("tags"))
+
+
 def write_lines(df: DataFrame, path: str, mode: str = "append") -> None:
     """One JSON object a line, null fields kept."""
     df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value")).write.mode(mode).text(path)
 
 
+def write_merged(df: DataFrame, path: str, source: str) -> None:
+    """Lines in another place than they came from: writing over the source is an error."""
+    plain = lambda p: os.path.normpath(p.removeprefix("file:")).rstrip("/")
+    if plain(path) == plain(source):
+        raise ValueError("the output would replace its own input")
+    write_lines(df, path, "overwrite")
+
+
 def write_array(df: DataFrame, path: str, order: str) -> None:
-    """A JSON array as one file per partition range in order; Spark's committer replaces the whole folder."""
-    df.orderBy(order).write.mode("overwrite").json(path, ignoreNullFields=False)
+    """JSON arrays: one for each file, rows in order from file to file; a small table is one file and so one array.
+
+    Each file is a valid array for itself, so that no task needs the whole table. Spark's committer replaces the folder.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for frame in frames:
+            for value in frame["value"]:
+                yield pd.DataFrame({"value": ["[" if held is None else held + ","]})
+                held = value
+        yield pd.DataFrame({"value": ["[]"] if held is None else [held, "]"]})
+
+    lines = df.orderBy(order).select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
+    lines.mapInPandas(run, "value string").write.mode("overwrite").text(path)
+
+
+def write_summary(row: DataFrame, path: str) -> None:
+    """A one-row table as one JSON object, nulls kept; it replaces what was there."""
+    write_lines(row.limit(1).coalesce(1), path, "overwrite")

@@ -1,4 +1,4 @@
-"""A paged JSON source as a Python data source: a partition for each page, retries with linear backoff, pauses.
+"""A paged JSON source as a Python data source: a partition for each task, retries with linear backoff, pauses.
 
 Pages come from a callable ``fetch(task, page) -> dict`` that is given by name (``module:function``), so that executors
 can import it; no endpoint is built in. Status 000 is fine, 013 means no rows, all else is an error after the retries.
@@ -9,7 +9,7 @@ from __future__ import annotations
 import importlib
 import json
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -41,29 +41,39 @@ def page_rows(task: str, page: int, answer: dict) -> list[tuple]:
     return [(task, page, i, json.dumps(r, ensure_ascii=False), status, None) for i, r in enumerate([listed] if isinstance(listed, dict) else listed)]
 
 
-class PagePartition(InputPartition):
-    def __init__(self, task: str, page: int):
-        self.task, self.page = task, page
+def task_rows(fetch: Callable[[str, int], dict], task: str, attempts: int = 4, pace: float = 0.15, sleep: Callable[[float], None] = time.sleep) -> Iterator[tuple]:
+    """The rows of all pages of a task, with a pause between pages; page 1 is fetched once and says how many there are.
+
+    A page that fails is a row with its status; if it is page 1, the task ends there, else the next pages follow.
+    """
+    page = total = 1
+    while page <= total:
+        if page > 1 and pace:
+            sleep(pace)
+        answer = fetch_page(fetch, task, page, attempts, pace, sleep)
+        yield from page_rows(task, page, answer)
+        if page == 1 and (answer.get("status") or OK) in (OK, NO_ROWS):
+            total = max(1, int(str(answer.get("total_page", 1) or 1)))
+        page += 1
+
+
+class TaskPartition(InputPartition):
+    def __init__(self, task: str):
+        self.task = task
 
 
 class PagedReader(DataSourceReader):
     def __init__(self, options: dict):
         self.options = options
 
-    def _fetch(self) -> Callable[[str, int], dict]:
+    def partitions(self) -> list[TaskPartition]:
+        """One for each task; planning fetches nothing."""
+        return [TaskPartition(task) for task in json.loads(self.options["tasks"])]
+
+    def read(self, partition: TaskPartition):
         module, _, name = self.options["fetch"].partition(":")
-        return getattr(importlib.import_module(module), name)
-
-    def partitions(self) -> list[PagePartition]:
-        fetch, out = self._fetch(), []
-        for task in json.loads(self.options["tasks"]):
-            first = fetch_page(fetch, task, 1, int(self.options.get("attempts", 4)), float(self.options.get("pace", 0.15)))
-            out += [PagePartition(task, p) for p in range(1, max(1, int(first.get("total_page") or 1)) + 1)]
-        return out
-
-    def read(self, partition: PagePartition):
-        answer = fetch_page(self._fetch(), partition.task, partition.page, int(self.options.get("attempts", 4)), float(self.options.get("pace", 0.15)))
-        yield from page_rows(partition.task, partition.page, answer)
+        fetch = getattr(importlib.import_module(module), name)
+        yield from task_rows(fetch, partition.task, int(self.options.get("attempts", 4)), float(self.options.get("pace", 0.15)))
 
 
 class PagedSource(DataSource):

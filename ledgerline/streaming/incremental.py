@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import keep_last
+from ..session import listed
 
 
 def guard_parameters(spark: SparkSession, path: str, parameters: dict) -> None:
@@ -27,15 +28,40 @@ def guard_parameters(spark: SparkSession, path: str, parameters: dict) -> None:
 
 
 def load_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A state table, or an empty one where there is none yet."""
+    """A state table, or an empty one where there is none yet or its files cannot be read."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        state = spark.read.schema(schema).parquet(path)
+        state.count()
+        return state
     except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
+        if not any(said in str(e) for said in ("PATH_NOT_FOUND", "FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER", "is not a Parquet file")):
             raise
         return spark.createDataFrame([], schema)
 
 
+def upsert_state(spark: SparkSession, path: str, schema: str, fresh: DataFrame, key: str) -> DataFrame:
+    """The state with fresh rows in place of those with their keys, as a new version beside the old ones; reads it back.
+
+    A version is complete or missing (Spark's committer), so that a crash leaves the last complete one in place.
+    """
+    version, old = _latest_version(spark, path, schema)
+    kept = old.join(fresh.select(key).distinct(), key, "left_anti")
+    kept.unionByName(fresh.select(*old.columns)).write.mode("overwrite").parquet(f"{path}/version={version + 1:08d}")
+    return _latest_version(spark, path, schema)[1]
+
+
+def _latest_version(spark: SparkSession, path: str, schema: str) -> tuple[int, DataFrame]:
+    complete = [v for v in listed(spark, path) if v.startswith("version=") and "_SUCCESS" in listed(spark, f"{path}/{v}")]
+    if not complete:
+        return 0, spark.createDataFrame([], schema)
+    return int(complete[-1].removeprefix("version=")), load_state(spark, f"{path}/{complete[-1]}", schema)
+
+
+def read_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The last complete version of a state; empty where there is none."""
+    return _latest_version(spark, path, schema)[1]
+
+
 def run_new_files(spark: SparkSession, source: str, schema: str, transform: Callable[[DataFrame], DataFrame], sink: str, checkpoint: str, key: str, pos: str) -> None:
     """Processes the files that were not seen before; of equal keys in the sink the last position wins.
 
