@@ -13,8 +13,8 @@ from .segments import slices
 
 #: Characters handled at once by a worker: bounds its memory, whatever the number of rows in an Arrow batch.
 CHARS_AT_ONCE = 1_000_000
-#: Parts of a kind of keys that are cut on their own.
-SALTS = 64
+#: Keys that are ranked for each one that is taken.
+SPARE = 4
 
 
 def pieces(batches: Iterator[pa.RecordBatch], text: str, most: int = CHARS_AT_ONCE) -> Iterator[tuple[pa.RecordBatch, list]]:
@@ -37,13 +37,15 @@ def smallest(keys: DataFrame, kind: str, rows: int, chars: int) -> DataFrame:
     """(__hash, ``kind``) of each kind's distinct texts with the smallest hashes: ``rows`` of them at most, and so many as
     hold ``chars`` characters in all, but one at least. Long texts come last, so that they do not crowd out the others.
 
-    ``keys`` has __hash, __size and the kind. The keys of a kind are cut to ``rows`` in each of ``SALTS`` parts first, so
-    that no task reads more than ``SALTS`` times ``rows`` of one kind, however many there are.
+    ``keys`` has __hash, __size and the kind; kinds are few, as their counts are broadcast. Of each kind only the keys in
+    the lowest part of the range of hashes, where ``SPARE`` times as many as needed are expected, are ranked at all, so
+    that no task reads more than these, however many keys there are.
     """
-    order = [(F.col("__size") > chars // rows), F.col("__hash")]
-    rank = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(*order))
-    own = keys.groupBy(kind, "__hash").agg(F.min("__size").alias("__size")).withColumn("__salt", F.pmod(F.xxhash64("__hash"), F.lit(SALTS)))
-    ranked = own.withColumn("__rank", rank(kind, "__salt")).filter(F.col("__rank") <= rows).withColumn("__rank", rank(kind)).filter(F.col("__rank") <= rows)
+    own = keys.groupBy(kind, "__hash").agg(F.min("__size").alias("__size")).withColumn("__at", F.shiftrightunsigned("__hash", 11))
+    counts = own.groupBy(kind).agg(F.count("*").alias("__n"))
+    low = own.join(F.broadcast(counts), kind).filter(F.col("__at").cast("double") * F.col("__n") <= F.lit(float(SPARE * rows * (1 << 53))))
+    rank = F.row_number().over(Window.partitionBy(kind).orderBy(F.col("__size") > chars // rows, "__at", "__hash"))
+    ranked = low.withColumn("__rank", rank).filter(F.col("__rank") <= rows)
     so_far = F.sum("__size").over(Window.partitionBy(kind).orderBy("__rank"))
     return ranked.withColumn("__so_far", so_far).filter((F.col("__rank") == 1) | (F.col("__so_far") <= chars)).select("__hash", kind)
 
