@@ -15,6 +15,8 @@ SECTION_LANDMARKS = (
 GOING_CONCERN_HEADERS = ("계속기업 관련 중요한 불확실성", "계속기업 관련 중대한 불확실성")
 GOING_CONCERN_PATTERN = r"(?U)계속기업으로서의\s*존속능력에?\s*(?:대하여\s*)?유의적(?:인|\s)*\s*의문을?\s*제기"
 OPINION_SENTENCE_PATTERN = r"(?Us)(?:우리(?:의|는)|본\s*감사인(?:의|은))\s*의견[^.]{0,400}\."
+# Words without which the two patterns above cannot match.
+GOING_CONCERN_WORD, OPINION_WORD = "존속능력", "의견"
 SIGNATURE_PATTERN = r"(?U)(?:[가-힣]\s*){2,20}?(?:회\s*계\s*법\s*인|감\s*사\s*반)"
 OPINION_MARKERS = ("표시하고 있지 않습니다", "표시하고 있지 아니합니다", "의견을 표명하지 않습니다", "의견거절", "제외하고는", "공정하게", "적정하게")
 KEY_MATTERS, EMPHASIS = "핵심감사사항", "강조사항"

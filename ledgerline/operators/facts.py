@@ -47,13 +47,13 @@ def opinion_paragraph(text: Column, first: Column | None = None) -> Column:
     decided = F.lit(False)
     for marker in D.OPINION_MARKERS:
         decided = decided | paragraph.contains(marker)
-    return F.when(decided, paragraph).otherwise(F.coalesce(F.nullif(F.regexp_extract(text, D.OPINION_SENTENCE_PATTERN, 0), F.lit("")), paragraph))
+    return F.when(decided, paragraph).otherwise(F.coalesce(F.when(text.contains(D.OPINION_WORD), F.nullif(F.regexp_extract(text, D.OPINION_SENTENCE_PATTERN, 0), F.lit(""))), paragraph))
 
 
 def going_concern(text: Column) -> Column:
     """Snippet after the first header that occurs, else around the phrase that raises doubt; null if neither occurs."""
     after = [F.when(T.landmark(text, h) > 0, T.strip(F.substring(text, T.landmark(text, h) + len(h), F.lit(400)))) for h in D.GOING_CONCERN_HEADERS]
-    said = F.regexp_extract(text, D.GOING_CONCERN_PATTERN, 0)
+    said = F.when(text.contains(D.GOING_CONCERN_WORD), F.regexp_extract(text, D.GOING_CONCERN_PATTERN, 0)).otherwise("")
     at = F.length(F.get(F.split(text, D.GOING_CONCERN_PATTERN, 2), F.lit(0)))
     start = F.greatest(F.lit(0), at - 80)
     around = T.strip(F.substring(text, start + 1, at + F.length(said) + 250 - start))
