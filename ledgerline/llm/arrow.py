@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,9 +21,10 @@ SPARE = 4
 def pieces(batches: Iterator[pa.RecordBatch], text: str, most: int = CHARS_AT_ONCE) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Cuts batches into parts of bounded text, each with its texts as Python strings."""
     for batch in batches:
-        texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-        for a, b in slices([len(t or "") for t in texts], most):
-            yield batch.slice(a, b - a), texts[a:b]
+        at = batch.schema.get_field_index(text)
+        for a, b in slices(pc.fill_null(pc.utf8_length(batch.column(at)), 0).to_pylist(), most):
+            part = batch.slice(a, b - a)
+            yield part, part.column(at).to_pylist()
 
 
 def unused(df: DataFrame, name: str) -> str:

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .arrow import annotate, keep_where, smallest
 from .bpe import LETTER, character_classes
 from .segments import code_points
@@ -213,11 +214,12 @@ def held_out(id_col: str = "doc_id") -> Column:
 def learn(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Decoder:
     """Fits on a bounded sample of the rows with a language and a text that are not held out."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out()).select("lang", "text", F.xxhash64("text").alias("__hash"))
-    n = len(known.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect())
+    hashed = cut_lineage(known.select("lang", "__hash", F.length("text").alias("__size")))  # so that texts are read once for all counts
+    n = len(hashed.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect())
     if n > MOST_LANGUAGES:
         raise ValueError(f"over {MOST_LANGUAGES} languages")
     most = max(1, min(per_language, SAMPLE_ROWS // max(n, 1)))
-    least = smallest(known.select("lang", "__hash", F.length("text").alias("__size")), "lang", most, SAMPLE_CHARS // max(n, 1))
+    least = smallest(hashed, "lang", most, SAMPLE_CHARS // max(n, 1))
     drawn = known.join(F.broadcast(least), ["lang", "__hash"]).groupBy("lang", "__hash").agg(F.min("text").alias("text"))
     rows = sorted(drawn.select("lang", "__hash", "text").collect())
     rows = [r for r in rows if any(c.isalpha() for c in r.text)]
