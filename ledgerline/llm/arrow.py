@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from .segments import slices
 
-#: Characters handled at once by a worker: bounds its memory, whatever the number of rows in an Arrow batch.
-CHARS_AT_ONCE = 1_000_000
+#: Characters handled at once by a worker: bounds its memory, whatever the number of rows in an Arrow batch. Arrays of
+#: 8 bytes a character come to some 40 MB; an executor may hold several workers, idle ones too.
+CHARS_AT_ONCE = 250_000
 #: Keys that are ranked for each one that is taken.
 SPARE = 4
 
