@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .segments import slices
@@ -15,10 +15,19 @@ from .segments import slices
 #: Characters handled at once by a worker: bounds its memory, whatever the number of rows in an Arrow batch. Arrays of
 #: 8 bytes a character come to some 40 MB; an executor may hold several workers, idle ones too.
 CHARS_AT_ONCE = 250_000
+#: Bytes of an Arrow batch, about. Executors hold several copies of a batch outside their heap, workers one or two more.
+BATCH_BYTES = "4m"
 #: Keys that are ranked for each one that is taken.
 SPARE = 4
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Bounds Arrow batches by bytes, whatever the length of texts; a bound that the session was given stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, BATCH_BYTES)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], text: str, most: int = CHARS_AT_ONCE) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Cuts batches into parts of bounded text, each with its texts as Python strings."""
     for batch in batches:
@@ -81,6 +90,7 @@ def annotate(docs: DataFrame, make: Callable[[], Callable[[list], list]], schema
     ``make`` is called once in each task and gives a function from a list of texts to a list of Arrow arrays, one for
     each column of ``schema`` after the id and the extra columns. Other columns of ``docs`` are not read.
     """
+    bounded_batches(docs.sparkSession)
     source = docs.select(F.col(id_col), *extra, F.col(text_col).alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,4 +113,5 @@ def keep_where(docs: DataFrame, make: Callable[[], Callable[[list], pa.Array]],
         for batch, texts in pieces(batches, text_col, most):
             yield batch.filter(apply(texts))
 
+    bounded_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)
