@@ -35,6 +35,7 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str, most: int = CHARS_AT_ON
         for a, b in slices(pc.fill_null(pc.utf8_length(batch.column(at)), 0).to_pylist(), most):
             part = batch.slice(a, b - a)
             yield part, part.column(at).to_pylist()
+    pa.default_memory_pool().release_unused()  # the worker may stay idle from here on
 
 
 def unused(df: DataFrame, name: str) -> str:

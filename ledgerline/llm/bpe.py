@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import base64
 import unicodedata
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -138,9 +137,3 @@ class Encoder:
         flat, offsets = self([None if i in special else t for i, t in enumerate(texts)])
         parts = [np.array(self._whole.encode(texts[i], add_special_tokens=False).ids, np.uint32) if i in special else flat[offsets[i] : offsets[i + 1]] for i in range(len(texts))]
         return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-
-
-@lru_cache(maxsize=2)
-def encoder(json_path: str, ranks_path: str) -> Encoder:
-    """One encoder for each worker process."""
-    return Encoder(json_path, ranks_path)

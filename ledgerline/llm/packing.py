@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .arrow import pieces
-from .bpe import encoder
+from .bpe import Encoder
 
 SIZE = 1024
 OPEN_WINDOWS = 8
@@ -99,10 +99,10 @@ def pack(docs: DataFrame, json_path: str, ranks_path: str, size: int = SIZE, ope
     schema = pa.schema([("doc_id", pa.int64()), *((n, pa.int64()) for n in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")), ("rest", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(json_path, ranks_path)
+        encode = Encoder(json_path, ranks_path)  # one a task: an idle worker keeps no vocabulary
         windows = Windows((TaskContext.get().partitionId() + 1) << 32, size, open_windows)
         table = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
-        for batch, texts in pieces(batches, "text", 2_000_000):
+        for batch, texts in pieces(batches, "text", 500_000):
             ids, offsets = encode(texts)
             for doc, a, b in zip(batch.column(0).to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):
                 windows.add(doc, 0, np.append(ids[a:b], np.uint32(END_ID)), b - a + 1)
