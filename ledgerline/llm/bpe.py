@@ -74,14 +74,13 @@ class Encoder:
 
     def __init__(self, json_path: str, ranks_path: str, cached: int = 1_000_000):
         import tiktoken
-        from tokenizers import Tokenizer
 
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         import public_tokenizers
 
         self._encode = tiktoken.Encoding("ledgerline", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self._whole = Tokenizer.from_file(json_path)
+        self._json_path, self._whole = json_path, None
         self._kinds = character_classes()
         (self._newline,) = self._encode("\n")
         self._most = cached
@@ -135,5 +134,9 @@ class Encoder:
     def _mixed(self, texts: list, special: set[int]) -> tuple[np.ndarray, np.ndarray]:
         """Texts that hold the special token's string go to the library whole."""
         flat, offsets = self([None if i in special else t for i, t in enumerate(texts)])
+        if self._whole is None:  # few texts need it
+            from tokenizers import Tokenizer
+
+            self._whole = Tokenizer.from_file(self._json_path)
         parts = [np.array(self._whole.encode(texts[i], add_special_tokens=False).ids, np.uint32) if i in special else flat[offsets[i] : offsets[i + 1]] for i in range(len(texts))]
         return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])

@@ -102,7 +102,7 @@ def pack(docs: DataFrame, json_path: str, ranks_path: str, size: int = SIZE, ope
         encode = Encoder(json_path, ranks_path)  # one a task: an idle worker keeps no vocabulary
         windows = Windows((TaskContext.get().partitionId() + 1) << 32, size, open_windows)
         table = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
-        for batch, texts in pieces(batches, "text", 500_000):
+        for batch, texts in pieces(batches, "text"):
             ids, offsets = encode(texts)
             for doc, a, b in zip(batch.column(0).to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):
                 windows.add(doc, 0, np.append(ids[a:b], np.uint32(END_ID)), b - a + 1)
