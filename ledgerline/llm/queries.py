@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
 from . import embeddings, lm
+from .interaction import audit
 from .language import identify
 from .minhash import near_duplicates
 from .packing import pack
@@ -66,6 +67,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("byte_bpe_50k.tiktoken"))
 
 
+def op13_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_url_filters": op2_url_filters,
@@ -77,6 +82,7 @@ QUERIES = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_pii": op9_pii,
     "op10_packing": op10_packing,
+    "op13_filter_interaction_audit": op13_filter_interaction_audit,
 }
 
 _URLS = r"""
@@ -106,4 +112,39 @@ SELECT page_id, host, path, best.rule AS rule,
             ELSE 'allow' END AS verdict
 FROM judged
 """
-ORACLE_SQL: dict[str, str] = {"op2_url_filters": _URLS.strip()}
+
+_AUDIT = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents
+), words AS (
+  SELECT doc_id, part, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY t) AS first_id FROM texts
+), judged AS (
+  SELECT doc_id, part, map {'A': len(w) < 200, 'B': 100 * len(list_distinct(w)) < 50 * len(w), 'C': 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t),
+         'D': regexp_matches(t, '[#$%&*|]'), 'E': coalesce(doc_id > first_id, false)} AS fails FROM words
+), marked AS (
+  SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id
+), docs AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic
+  FROM judged LEFT JOIN marked USING (doc_id) GROUP BY part, fails
+), letters(x) AS (
+  VALUES ('A'), ('B'), ('C'), ('D'), ('E')
+), orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS o FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+  SELECT o, step, substr(o, step, 1) AS f, substr(o, 1, step - 1) AS gone FROM orders, (SELECT unnest(range(1, 6)) AS step)
+), applied AS (
+  SELECT part, o, step, f, n, n_good, n_toxic, fails[f] AS hit, len(list_filter(string_split(gone, ''), lambda y: y <> '' AND fails[y])) > 0 AS before,
+         len(list_filter(map_values(fails), lambda y: y)) = 1 AS alone
+  FROM docs, steps
+), counted AS (
+  SELECT part, o AS filter_order, CAST(step AS INTEGER) AS step, f, CAST(coalesce(sum(n) FILTER (NOT hit AND NOT before), 0) AS BIGINT) AS kept,
+         CAST(coalesce(sum(n) FILTER (hit AND NOT before), 0) AS BIGINT) AS removed, CAST(coalesce(sum(n) FILTER (hit AND before), 0) AS BIGINT) AS redundant,
+         CAST(coalesce(sum(n) FILTER (hit AND alone), 0) AS BIGINT) AS unique_fails, CAST(coalesce(sum(n_good) FILTER (hit AND NOT before), 0) AS BIGINT) AS good_lost,
+         CAST(coalesce(sum(n_toxic) FILTER (hit AND NOT before), 0) AS BIGINT) AS toxic_lost
+  FROM applied GROUP BY part, o, step, f
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM counted
+"""
+ORACLE_SQL: dict[str, str] = {"op2_url_filters": _URLS.strip(), "op13_filter_interaction_audit": _AUDIT.strip()}
