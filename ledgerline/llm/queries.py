@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
-from . import embeddings, lm
+from . import embeddings, lm, token_files, whitening
 from .interaction import audit
 from .language import identify
 from .minhash import near_duplicates
@@ -67,6 +67,14 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("byte_bpe_50k.tiktoken"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.digest(table(spark, sf_dir, "embeddings"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.digest(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 def op13_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -82,6 +90,8 @@ QUERIES = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_pii": op9_pii,
     "op10_packing": op10_packing,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_token_files": op12_token_files,
     "op13_filter_interaction_audit": op13_filter_interaction_audit,
 }
 
