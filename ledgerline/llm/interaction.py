@@ -37,8 +37,8 @@ RULES: dict[str, Rule] = {
 REPEATED = "E"
 #: Bytes of text that a task holds to find equal ones before the routing.
 HELD = 8 << 20
-#: Tasks to which texts are routed for each task that reads them.
-ROUTES = 2
+#: Bytes of text that are routed to one task, if no text repeats.
+ROUTED = 32 << 20
 #: All orders of k filters are k! rows a part.
 MOST_FILTERS = 7
 MASKS = "doc_id long, part string, mask int, n long"
@@ -133,9 +133,9 @@ def masks(docs: DataFrame, rules: dict[str, Rule] = RULES, id_col: str = "doc_id
             yield from chain.add(text, doc, mask, parts)
         yield from ended()
 
+    size = docs.select(F.sum(F.octet_length(text_col))).first()[0] or 0
     read: RDD = own.rdd.map(tuple)
-    routes = ROUTES * read.getNumPartitions()
-    routed = read.mapPartitionsWithIndex(judge).repartitionAndSortWithinPartitions(max(routes, 1), lambda key: key)
+    routed = read.mapPartitionsWithIndex(judge).repartitionAndSortWithinPartitions(1 + size // ROUTED, lambda key: key)
     return docs.sparkSession.createDataFrame(routed.mapPartitions(find), MASKS, verifySchema=False)
 
 
