@@ -23,11 +23,15 @@ empty table gives a manifest without rows; a text of any length is encoded whole
 
 from __future__ import annotations
 
+import json
+import os
 import posixpath
 import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import islice
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -46,8 +50,12 @@ SHARD_IDS, SHARD_DOCUMENTS = 1 << 26, 1 << 20
 READ_IDS = 1 << 19
 #: Bits of a level for each key that is still there.
 ROOM = 2
-#: Words whose ids a worker keeps; it starts anew beyond.
-CACHED = 200_000
+#: Words and pre-tokens whose ids a task keeps.
+CACHED = 400_000
+#: Characters that NFC leaves as they are whatever stands beside them: combining marks start here.
+PLAIN = 0x300
+#: Steps before the model that ``Encoder`` takes apart.
+STEPS = ["NFC", "Replace", "Lowercase", "Split", "ByteLevel"]
 #: Shards of a folder; their first keys (8 bytes each) are sent to all workers to route keys.
 MOST_SHARDS = 1 << 20
 HEADER = ("magic", "documents", "keys", "ids", "width", "levels", "words", "nulls")
@@ -59,31 +67,78 @@ MANIFEST = "name string, documents long, keys long, ids long, first long, last l
 class Encoder:
     """The ids of texts as bytes, as the vocabulary's own library gives them for the whole text.
 
-    Vocabularies of the ``word`` kind drop white space and never join what it divides, so a text's ids are those of its
-    words at ASCII white space; each different word is encoded once and kept.
+    The library's normaliser and pre-tokenizer drop white space and join nothing over it, so a text's ids are those of its
+    words at ASCII white space. A word's ids are kept; so are those of the pre-tokens that words consist of. Characters
+    below ``PLAIN``, of which none combines with another, are normalised one by one, as the library does each, and
+    pre-tokens of these go straight to the library's BPE model. All other words, and all words of a vocabulary with other
+    steps than ``STEPS``, go through the library whole.
     """
 
     def __init__(self, json_path: str, cached: int = CACHED):
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import regex
         from tokenizers import Tokenizer
 
         self._tokenizer, self._most = Tokenizer.from_file(json_path), cached
         self.width = 2 if self._tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self._known: dict[bytes, bytes] = {}
+        self._parts: dict[str, bytes] = {}
+        with open(json_path, encoding="utf-8") as f:
+            steps = json.load(f)
+        splits = [x["pattern"]["Regex"] for x in (steps["pre_tokenizer"] or {}).get("pretokenizers", []) if x["type"] == "Split" and "Regex" in x["pattern"]]
+        found = [x["type"] for kind, several in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers")) for x in (steps[kind] or {}).get(several, [])]
+        self._plain = self._split = self._special = None
+        if found == STEPS and len(splits) == 1:
+            plain = [c for c in map(chr, range(33, PLAIN)) if not c.isspace()]
+            bytewise = self._tokenizer.pre_tokenizer[1] if hasattr(self._tokenizer.pre_tokenizer, "__getitem__") else None
+            if bytewise is not None:
+                self._lower = {ord(c): self._tokenizer.normalizer.normalize_str(c) for c in plain}
+                self._bytes = {ord(c): bytewise.pre_tokenize_str(c)[0][0] for c in set("".join(self._lower.values()))}
+                self._special = [x["content"] for x in steps["added_tokens"]]
+                self._plain = regex.compile("[ " + "".join(map(regex.escape, plain)) + "]*").fullmatch
+                self._split = regex.compile(f"{splits[0]}| ").findall  # a space ends a word
 
     def __call__(self, text: str | None) -> bytes:
         words = (text or "").encode().split()
-        new = list(set(words).difference(self._known))
-        known = self._known
+        new = set(words).difference(self._known)
         if new:
-            if len(known) + len(new) > self._most:
-                known.clear()
-                new = list(set(words))
-            for word, made in zip(new, self._tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)):
-                known[word] = np.array(made.ids, f"<u{self.width}").tobytes()
-        return b"".join(map(known.__getitem__, words))
+            if len(self._known) + len(new) > self._most:
+                self._known = dict(islice(self._known.items(), self._most // 2))  # those that came first are the frequent ones
+                new = set(words).difference(self._known)
+            self._learn(list(new))
+        return b"".join(map(self._known.__getitem__, words))
+
+    def _learn(self, new: list[bytes]) -> None:
+        if self._plain is None:
+            return self._learn_whole([w.decode() for w in new])
+        joined = b" ".join(new).decode()
+        if not self._simple(joined):
+            texts = [w.decode() for w in new]
+            self._learn_whole([t for t in texts if not self._simple(t)])
+            texts = [t for t in texts if self._simple(t)]
+            new, joined = [t.encode() for t in texts], " ".join(texts)
+            if not new:
+                return
+        own = self._split(joined.translate(self._lower))
+        if len(self._parts) > self._most:
+            self._parts = dict(islice(self._parts.items(), self._most // 2))
+        parts, model, kind = self._parts, self._tokenizer.model, "H" if self.width == 2 else "I"
+        for part in set(own).difference(parts):
+            made = model.tokenize(part.translate(self._bytes)) if part != " " else ()
+            parts[part] = pack(f"<{len(made)}{kind}", *[t.id for t in made])
+        known, at = self._known, 0
+        own.append(" ")
+        for word in new:
+            end = own.index(" ", at)
+            known[word] = parts[own[at]] if end == at + 1 else b"".join([parts[x] for x in own[at:end]])
+            at = end + 1
+
+    def _simple(self, text: str) -> bool:
+        return self._plain(text) is not None and not any(x in text for x in self._special)
+
+    def _learn_whole(self, texts: list[str]) -> None:
+        for text, made in zip(texts, self._tokenizer.encode_batch(texts, add_special_tokens=False)):
+            self._known[text.encode()] = np.array(made.ids, f"<u{self.width}").tobytes()
 
 
 def hashed(keys: np.ndarray, level: int) -> np.ndarray:
