@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
 
 EXACT, PREFIX, CONTAINS = 0, 1, 2
+#: Characters of a run in the index of names.
+GRAM = 3
 
 
 def match_rank(name: Column, query: Column | str) -> Column:
@@ -47,6 +49,50 @@ def resolve_many(master: DataFrame, queries: DataFrame, name: str, code: str, po
     return hits.select("query", "n_exact", F.when(F.col("n_exact") == 1, F.col("__row.code")).alias("code"))
 
 
+def grams(c: Column, n: int) -> Column:
+    """The distinct runs of n characters of a text."""
+    return F.array_distinct(F.when(F.length(c) >= n, F.transform(F.sequence(F.lit(1), F.length(c) - (n - 1)), lambda i: F.substring(c, i, F.lit(n)))).otherwise(F.array().cast("array<string>")))
+
+
+def matching_names(names: DataFrame, queries: DataFrame) -> DataFrame:
+    """(query, name, rank) of folded names (column ``name``, distinct) that each query (``query``) is equal to, starts or is in.
+
+    Names are indexed by their runs of ``GRAM`` characters. A query meets only the names that hold its rarest run, by an
+    equality join; these are then compared in full. Queries of fewer characters are a run themselves.
+    """
+    asked = queries.select("query").distinct().withColumn("wanted", F.lower(strip(F.col("query")))).filter("wanted <> ''").withColumn("size", F.least(F.length("wanted"), F.lit(GRAM)))
+    sizes = sorted(r[0] for r in asked.select("size").distinct().collect())
+    index = names.select("name", F.explode(F.concat(F.array().cast("array<string>"), *(grams(F.col("name"), n) for n in sizes))).alias("gram"))
+    own = F.coalesce(*(F.when(F.col("size") == n, grams(F.col("wanted"), n)) for n in sizes), F.array().cast("array<string>"))
+    runs = asked.select("query", "wanted", F.explode(own).alias("gram"))
+    often = index.groupBy("gram").agg(F.count("*").alias("n"))
+    rarest = runs.join(often, "gram", "left").groupBy("query", "wanted").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("x")).filter("x.n > 0")
+    met = rarest.select("query", "wanted", "x.gram").join(index, "gram")
+    return met.select("query", "name", match_rank(F.col("name"), F.col("wanted")).alias("rank")).filter("rank is not null")
+
+
+def resolve_table(master: DataFrame, queries: DataFrame, name: str, code: str, pos: str, most: int = 20) -> DataFrame:
+    """``resolve`` for each distinct query of a table: status, code if unique, n_candidates, the first ones, and how many more.
+
+    Names that many rows of the master share are compared once; of each name and of each query no more than ``most`` rows
+    are kept while the first ones are looked for.
+    """
+    own = master.select(F.lower(F.col(name)).alias("name"), F.col(pos).alias("pos"), F.col(code).alias("code")).filter("name is not null")
+    first = lambda df, by: df.withColumn("__n", F.row_number().over(Window.partitionBy(by).orderBy(*([] if by == "name" else ["rank"]), "pos"))).filter(F.col("__n") <= most).drop("__n")
+    met = matching_names(own.select("name").distinct(), queries)
+    n_of = own.groupBy("name").agg(F.count("*").alias("n"))
+    exact, n = F.col("rank") == EXACT, F.col("n")
+    sums = met.join(n_of, "name").groupBy("query").agg(F.sum(F.when(exact, n).otherwise(0)).alias("n_exact"), F.sum(F.when(exact, 0).otherwise(n)).alias("n_other"))
+    listed = first(met.join(first(own, "name"), "name"), "query").groupBy("query").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "pos", "code"))), lambda x: x["code"]).alias("candidates"))
+    found = queries.select("query").distinct().join(sums, "query", "left").join(listed, "query", "left").na.fill(0, ["n_exact", "n_other"])
+    one = (F.col("n_exact") == 1) | ((F.col("n_exact") == 0) & (F.col("n_other") == 1))
+    total = F.when(F.col("n_exact") > 0, F.col("n_exact")).otherwise(F.col("n_other"))
+    status = F.when(one, "unique").when(F.col("n_exact") + F.col("n_other") == 0, "not_found").otherwise("ambiguous")
+    listed = F.coalesce("candidates", F.array().cast(dict(found.dtypes)["candidates"]))
+    told = F.when(F.col("n_exact") > 0, F.slice(listed, F.lit(1), F.least(F.col("n_exact"), F.lit(most)).cast("int"))).otherwise(listed)
+    return found.select("query", status.alias("status"), F.when(one, F.get("candidates", F.lit(0))).alias("code"), total.alias("n_candidates"), told.alias("candidates"), F.greatest(total - most, F.lit(0)).alias("more"))
+
+
 def label_codes(df: DataFrame, code: str, names: DataFrame, out: str) -> DataFrame:
     """A left join with a label table (code, label); unknown codes stay as they are."""
     named = names.select(F.col("code").alias("__code"), F.col("label").alias("__label"))

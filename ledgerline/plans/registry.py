@@ -431,4 +431,4 @@ def receipt_period(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", period.alias("p")).select("o_orderkey", F.col("p.year").alias("fiscal_year"), F.col("p.month").alias("settlement_month"))
 
 
-from . import filings  # noqa: E402, F401  (registers its queries)
+from . import filings, lookups  # noqa: E402, F401  (register their queries)
