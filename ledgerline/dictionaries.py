@@ -17,6 +17,8 @@ GOING_CONCERN_PATTERN = r"(?U)계속기업으로서의\s*존속능력에?\s*(?:
 OPINION_SENTENCE_PATTERN = r"(?Us)(?:우리(?:의|는)|본\s*감사인(?:의|은))\s*의견[^.]{0,400}\."
 # Words without which the two patterns above cannot match.
 GOING_CONCERN_WORD, OPINION_WORD = "존속능력", "의견"
+# A signature's characters, how it ends, and the whole of it.
+SIGNATURE_CHARACTERS, SIGNATURE_ENDING = r"[가-힣\s]", r"(?:회\s*계\s*법\s*인|감\s*사\s*반)"
 SIGNATURE_PATTERN = r"(?U)(?:[가-힣]\s*){2,20}?(?:회\s*계\s*법\s*인|감\s*사\s*반)"
 OPINION_MARKERS = ("표시하고 있지 않습니다", "표시하고 있지 아니합니다", "의견을 표명하지 않습니다", "의견거절", "제외하고는", "공정하게", "적정하게")
 KEY_MATTERS, EMPHASIS = "핵심감사사항", "강조사항"

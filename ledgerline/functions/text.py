@@ -62,6 +62,59 @@ def first_landmark(text: Column, marks: Sequence[str]) -> Column:
     return F.array_min(F.filter(found, lambda x: x["at"].isNotNull()))
 
 
+#: Characters that Unicode keeps out of texts: they set off what ``Landmarks`` writes into a text. If a text holds them
+#: nevertheless, they are taken for other characters while places are found.
+_OPEN, _CLOSE = "\ufdd0", "\ufdd1"
+
+
+class Landmarks:
+    """Where marks stand in a text, each followed by a space or the end: found by one pattern in one pass over the text.
+
+    For many marks of which much is asked; a few questions about frequent words are better put to ``section`` and
+    ``first_landmark``, which stop at the first place. The pattern looks at spaces alone, and there at what stands before.
+
+    ``found`` is an array of structs: for the text's beginning and for each mark, in order, the mark (null for the
+    beginning) and the number of characters from there to the next mark's end. It is best a column of its own; all else is
+    read from it. A mark's number is its place in the array; null is the number of a missing one.
+    """
+
+    def __init__(self, marks: Sequence[str]):
+        self.marks = tuple(dict.fromkeys(marks))
+        if any(m != x and f"{m} " in f"{x} " for m in self.marks for x in self.marks):
+            raise ValueError("a mark may not stand inside another one")
+        by_size = [[m for m in self.marks if len(m) == n] for n in sorted({len(m) for m in self.marks})]
+        self.pattern = r"(?= |\z)(?:" + "|".join("(?<=(" + "|".join(rf"\Q{m}\E" for m in own) + "))" for own in by_size) + ")"
+        self._noted = _OPEN + "".join(f"${i + 1}" for i in range(len(by_size))) + _CLOSE
+
+    def found(self, text: Column) -> Column:
+        clean = F.when(text.contains(_OPEN) | text.contains(_CLOSE), F.translate(text, _OPEN + _CLOSE, "\ufffd\ufffd")).otherwise(text)
+        parts = F.split(F.regexp_replace(clean, self.pattern, self._noted), _OPEN)
+        return F.transform(parts, lambda x, i: F.struct(F.when(i > 0, F.substring_index(x, _CLOSE, 1)).alias("mark"), F.length(F.substring_index(x, _CLOSE, -1)).alias("size")))
+
+    # Each of these takes numbers that are columns of their own: they are used several times.
+
+    @staticmethod
+    def first(found: Column, marks: Sequence[str]) -> Column:
+        """The number of the first of the marks."""
+        places = [F.nullif(F.array_position(found["mark"], m), F.lit(0).cast("long")) for m in marks]
+        return (F.least(*places) if len(places) > 1 else places[0]).cast("int")
+
+    @staticmethod
+    def next(found: Column, number: Column, marks: Sequence[str]) -> Column:
+        """The number of the first of the marks behind the numbered one."""
+        return F.array_min(F.transform(found, lambda x, i: F.when((i >= number) & x["mark"].isin(*marks), i + 1)))
+
+    @staticmethod
+    def end(found: Column, number: Column) -> Column:
+        """The place behind the numbered mark."""
+        return F.aggregate(F.slice(found["size"], F.lit(1), number - 1), F.lit(1), lambda a, x: a + x)
+
+    @classmethod
+    def start(cls, text: Column, found: Column, number: Column) -> Column:
+        """The place of the numbered mark; one past the end of the text for null."""
+        return F.coalesce(cls.end(found, number) - F.length(F.get(found["mark"], number - 1)), F.length(text) + 1)
+
+
 def classify(text: Column, rules: Sequence[tuple[str, Sequence[Sequence[str]]]], otherwise: str) -> Column:
     """The first rule of which every group has a marker in the text."""
     out = F.lit(otherwise)
@@ -106,6 +159,16 @@ def last_match(text: Column, pattern: str) -> Column:
     return F.coalesce(F.try_element_at(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.lit(-1)), F.lit(""))
 
 
+def last_match_in_runs(text: Column, pattern: str, characters: str, ending: str) -> Column:
+    """``last_match`` of a slow pattern that takes nothing but ``characters`` and always stops at ``ending``.
+
+    A quick pattern finds the runs of such characters up to their last ending; the slow one reads these alone.
+    """
+    runs = F.regexp_extract_all(text, F.lit(f"(?U)(?<!{characters}){characters}*{ending}"), F.lit(0))
+    found = F.filter(F.transform(runs, lambda x: last_match(x, pattern)), lambda x: x != "")
+    return F.coalesce(F.try_element_at(found, F.lit(-1)), F.lit(""))
+
+
 def present(c: Column) -> Column:
     """Neither blank nor a dash."""
     return ~strip(F.coalesce(c, F.lit(""))).isin("", "-")

@@ -9,6 +9,8 @@ from .. import dictionaries as D
 from ..functions import text as T
 from ..functions.dates import fiscal_period
 
+#: Characters of a section.
+SECTION_CHARS = 6000
 PASSED = ("rcept_no", "corp_code", "corp_name", "corp_cls", "stock_code", "report_name", "rcept_dt", "category", "source_url")
 
 
@@ -36,14 +38,38 @@ def choose_documents(files: DataFrame) -> DataFrame:
     return best.filter("x.__rank < 3 or n = 1").select("rcept_no", F.col("x.path").alias("path"))
 
 
-def opinion_paragraph(text: Column, first: Column | None = None) -> Column:
-    """From the earliest opinion header to the next landmark; without a deciding phrase in it, the opinion's sentence.
+#: All landmarks of reports: found together, in one pass.
+LANDMARKS = T.Landmarks([*D.OPINION_HEADERS, *D.SECTION_LANDMARKS, *D.GOING_CONCERN_HEADERS])
 
-    ``first`` is the header's place (``text.first_landmark``), best a column of its own.
+
+def with_landmarks(df: DataFrame, text: str = "full_text") -> DataFrame:
+    """Adds what the parse reads places from, each a column of its own so that it is worked out once.
+
+    ``found`` (``LANDMARKS``); the numbers of the first opinion header, key matters, emphasis and headers of doubt; and the
+    places where the first three of them end (``*_end``) and the section goes on to (``*_stop``).
     """
-    first = T.first_landmark(text, D.OPINION_HEADERS) if first is None else first
-    end = T.next_landmark(text, first["at"] + F.length(first["mark"]), D.SECTION_LANDMARKS)
-    paragraph = F.coalesce(T.strip(F.substring(text, first["at"], F.least(end - first["at"], F.lit(1200)))), F.lit(""))
+    found, number = F.col("found"), F.col
+    df = df.withColumn("found", LANDMARKS.found(F.col(text)))
+    df = df.withColumns({n: LANDMARKS.first(found, marks) for n, marks in {"opinion_no": D.OPINION_HEADERS, "kam_no": [D.KEY_MATTERS], "emphasis_no": [D.EMPHASIS], **{f"doubt_no_{i}": [h] for i, h in enumerate(D.GOING_CONCERN_HEADERS)}}.items()})
+    but = lambda header: [m for m in D.SECTION_LANDMARKS if m != header]
+    df = df.withColumns({f"{n}_next": LANDMARKS.next(found, number(f"{n}_no"), but(header)) for n, header in (("opinion", None), ("kam", D.KEY_MATTERS), ("emphasis", D.EMPHASIS))})
+    return df.withColumns({f"{n}_end": LANDMARKS.end(found, number(f"{n}_no")) for n in ("opinion", "kam", "emphasis")} | {f"{n}_stop": LANDMARKS.start(F.col(text), found, number(f"{n}_next")) for n in ("opinion", "kam", "emphasis")})
+
+
+def opinion_paragraph(text: Column) -> Column:
+    """From the earliest opinion header to the next landmark; empty without a header. ``deciding`` goes on from there."""
+    at = F.col("opinion_end") - F.length(F.get("found.mark", F.col("opinion_no") - 1))
+    return F.when(F.col("opinion_no").isNotNull(), T.strip(F.substring(text, at, F.least(F.col("opinion_stop") - at, F.lit(1200))))).otherwise("")
+
+
+def section(text: Column, name: str) -> Column:
+    """What follows the header ``name`` (kam, emphasis) up to the next landmark; empty without the header."""
+    begin = F.col(f"{name}_end")
+    return F.when(F.col(f"{name}_no").isNotNull(), T.strip(F.substring(text, begin, F.least(F.col(f"{name}_stop") - begin, F.lit(SECTION_CHARS))))).otherwise("")
+
+
+def deciding(text: Column, paragraph: Column) -> Column:
+    """The paragraph if it holds a deciding phrase, else the opinion's sentence wherever it stands, else the paragraph."""
     decided = F.lit(False)
     for marker in D.OPINION_MARKERS:
         decided = decided | paragraph.contains(marker)
@@ -52,7 +78,8 @@ def opinion_paragraph(text: Column, first: Column | None = None) -> Column:
 
 def going_concern(text: Column) -> Column:
     """Snippet after the first header that occurs, else around the phrase that raises doubt; null if neither occurs."""
-    after = [F.when(T.landmark(text, h) > 0, T.strip(F.substring(text, T.landmark(text, h) + len(h), F.lit(400)))) for h in D.GOING_CONCERN_HEADERS]
+    numbers = [F.col(f"doubt_no_{i}") for i in range(len(D.GOING_CONCERN_HEADERS))]
+    after = [F.when(n.isNotNull(), T.strip(F.substring(text, LANDMARKS.end(F.col("found"), n), F.lit(400)))) for n in numbers]
     said = F.when(text.contains(D.GOING_CONCERN_WORD), F.regexp_extract(text, D.GOING_CONCERN_PATTERN, 0)).otherwise("")
     at = F.length(F.get(F.split(text, D.GOING_CONCERN_PATTERN, 2), F.lit(0)))
     start = F.greatest(F.lit(0), at - 80)
@@ -71,13 +98,13 @@ def parse_reports(reports: DataFrame, content: str = "content", filer: str = "fl
     meta = {c: F.coalesce(F.col(c), F.lit("")) if c in reports.columns else F.lit("") for c in kept}
     staged = reports.withColumns(meta).withColumn("full_text", F.coalesce(T.bytes_to_text(F.col(content)), F.lit("")))
     text = F.col("full_text")
-    staged = staged.withColumn("first", T.first_landmark(text, D.OPINION_HEADERS)).withColumns(
+    staged = with_landmarks(staged).withColumn("paragraph", opinion_paragraph(text)).withColumns(
         {
-            "signature": F.when(F.col(filer) != "", F.regexp_replace(T.last_match(text, D.SIGNATURE_PATTERN), T.SPACES, "")).otherwise(""),
-            "paragraph": opinion_paragraph(text, F.col("first")),
+            "signature": F.when(F.col(filer) != "", F.regexp_replace(T.last_match_in_runs(text, D.SIGNATURE_PATTERN, D.SIGNATURE_CHARACTERS, D.SIGNATURE_ENDING), T.SPACES, "")).otherwise(""),
+            "paragraph": deciding(text, F.col("paragraph")),
             "gc": going_concern(text),
-            "kam_raw": T.section(text, D.KEY_MATTERS, D.SECTION_LANDMARKS),
-            "emphasis_raw": T.section(text, D.EMPHASIS, D.SECTION_LANDMARKS),
+            "kam_raw": section(text, "kam"),
+            "emphasis_raw": section(text, "emphasis"),
             "period": fiscal_period(F.col("report_name"), text, F.col("rcept_dt")),
         }
     )

@@ -60,7 +60,7 @@ _OPINIONS_SQL = """
 @query(_OPINIONS_SQL)
 def opinion_paragraph(spark, sf_dir):
     found = table(spark, sf_dir, "orders").select("o_orderkey", _report(F.col("o_orderkey")).alias("text"))
-    found = found.withColumn("first", T.first_landmark(F.col("text"), D.OPINION_HEADERS)).withColumn("paragraph", facts.opinion_paragraph(F.col("text"), F.col("first")))
+    found = facts.with_landmarks(found, "text").withColumn("own", facts.opinion_paragraph(F.col("text"))).withColumn("paragraph", facts.deciding(F.col("text"), F.col("own")))
     return found.select("o_orderkey", T.classify(F.col("paragraph"), D.OPINION_RULES, D.UNKNOWN).alias("opinion"), "paragraph")
 
 
