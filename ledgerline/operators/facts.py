@@ -32,8 +32,8 @@ def document_head(content: Column) -> tuple[Column, Column]:
 def choose_documents(files: DataFrame) -> DataFrame:
     """One file of each filing among (rcept_no, path): consolidated, audit, the filing's own, else the only one."""
     name = T.base_name(F.col("path"))
-    own = F.concat(F.col("rcept_no"), F.lit(".xml"))
-    rank = F.when(name.endswith("_00761.xml"), 0).when(name.endswith("_00760.xml"), 1).when(name == own, 2).otherwise(3)
+    own = lambda end: name == F.concat(F.col("rcept_no"), F.lit(end))
+    rank = F.when(own("_00761.xml"), 0).when(own("_00760.xml"), 1).when(own(".xml"), 2).otherwise(3)
     best = files.withColumn("__rank", rank).groupBy("rcept_no").agg(F.min(F.struct("__rank", "path")).alias("x"), F.count("*").alias("n"))
     return best.filter("x.__rank < 3 or n = 1").select("rcept_no", F.col("x.path").alias("path"))
 
@@ -130,13 +130,21 @@ def parse_reports(reports: DataFrame, content: str = "content", filer: str = "fl
 _LINE = "rcept_no string, corp_code string, corp_name string, corp_cls string, stock_code string, report_name string, rcept_dt string, category string, fiscal_year string, settlement_month string, auditor string, audit_opinion string, opinion_snippet string, going_concern string, going_concern_snippet string, kam_present string, kam_raw string, emphasis_raw string, kam_tags array<string>, parse_flags array<string>, source_url string, doc_path string"
 
 
+def whole_number(said: Column, kind: Column) -> Column:
+    """A JSON value, as text and with its kind, as a whole number; null for what is none."""
+    text = T.strip(said)
+    written = F.when(text.rlike(r"^[+-]?\d+(_\d+)*\z"), F.replace(text, F.lit("_"), F.lit("")).try_cast("int"))
+    return F.when(kind == "STRING", written).when(kind == "BOOLEAN", (said == "true").cast("int")).otherwise(said.try_cast("double").try_cast("int"))
+
+
 def read_facts(lines: DataFrame, line: str = "value") -> tuple[DataFrame, DataFrame]:
     """(facts, corrupt lines): JSON lines read back with defaults.
 
-    Blank lines are skipped. A line that is no JSON object, or whose year or month is no whole number, is corrupt.
+    Blank lines are skipped. A line that is no JSON object, or whose year or month is no number, is corrupt. Numbers lose
+    their fraction, true and false are 1 and 0, and a text may hold single underscores between its digits.
     """
-    own = lines.filter(~T.blank(F.col(line))).withColumn("__kind", F.schema_of_variant(F.try_parse_json(F.col(line)))).withColumn("__x", F.from_json(line, _LINE))
-    whole = lambda c: T.strip(F.col(f"__x.{c}")).try_cast("int")
+    own = lines.filter(~T.blank(F.col(line))).withColumn("__v", F.try_parse_json(F.col(line))).withColumn("__kind", F.schema_of_variant("__v")).withColumn("__x", F.from_json(line, _LINE))
+    whole = lambda c: whole_number(F.col(f"__x.{c}"), F.schema_of_variant(F.try_variant_get("__v", f"$.{c}", "variant")))
     bad = lambda c: F.col(f"__x.{c}").isNotNull() & whole(c).isNull()
     fine = F.coalesce(F.col("__kind").startswith("OBJECT") & ~bad("fiscal_year") & ~bad("settlement_month"), F.lit(False))
     columns = []

@@ -76,9 +76,13 @@ def entry_summary(chosen: DataFrame, archives: DataFrame, include: str = "both")
 
 
 def write_entries(entries: DataFrame, path: str) -> None:
-    """The entries of archives without an error, one folder for each archive; nothing is written for a damaged one."""
-    name = F.regexp_replace(T.base_name(F.col("path")), r"\.[^.]*\z", "")
-    fine = entries.filter("error is null").select(name.alias("archive"), "entry_pos", T.base_name(F.col("filename")).alias("filename"), "size", "content")
+    """The entries of archives without an error, one folder for each archive; nothing is written for a damaged one.
+
+    ``archive`` is a text, ``a-`` and the file's name, with a hash of its path: so numbers keep their zeros and archives of one
+    name in two folders stay apart. ``path`` is kept.
+    """
+    name = F.concat(F.lit("a-"), F.regexp_replace(T.base_name(F.col("path")), r"\.[^.]*\z", ""), F.lit("-"), F.lower(F.hex(F.xxhash64("path"))))
+    fine = entries.filter("error is null").select(name.alias("archive"), "path", "entry_pos", T.base_name(F.col("filename")).alias("filename"), "size", "content")
     fine.write.mode("overwrite").partitionBy("archive").parquet(path)
 
 

@@ -181,7 +181,9 @@ def test_archives(spark, tmp_path):
     summary = {(r.path[-5:], r.kind): (r.requested, r.found) for r in archives.entry_summary(archives.requested_entries(entries, "audit"), entries, "audit").collect()}
     assert summary == {("1.zip", "audit"): (True, True), ("1.zip", "consolidated"): (False, False), ("2.zip", "audit"): (True, False), ("2.zip", "consolidated"): (False, False)}
     archives.write_entries(entries, str(tmp_path / "out"))
-    assert sorted((r.archive, r.filename) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [(1, "1.xml"), (1, "1_00760.xml"), (1, "1_00761.xml")]
+    written = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted((r.path[-5:], r.filename) for r in written) == [("1.zip", "1.xml"), ("1.zip", "1_00760.xml"), ("1.zip", "1_00761.xml")]
+    assert {r.archive[:4] for r in written} == {"a-1-"}
     assert archives.requested_entries(entries, "audit", require_consolidated=True).count() == 1
 
 
