@@ -29,8 +29,8 @@ import posixpath
 import uuid
 import zlib
 from array import array
-from collections.abc import Iterator
-from itertools import islice
+from collections.abc import Iterator, Sequence
+from itertools import chain, islice
 from struct import pack
 
 import numpy as np
@@ -85,7 +85,7 @@ class Encoder:
         self._parts: dict[str, bytes] = {}
         with open(json_path, encoding="utf-8") as f:
             steps = json.load(f)
-        splits = [x["pattern"]["Regex"] for x in (steps["pre_tokenizer"] or {}).get("pretokenizers", []) if x["type"] == "Split" and "Regex" in x["pattern"]]
+        splits = [x["pattern"]["Regex"] for x in (steps["pre_tokenizer"] or {}).get("pretokenizers", []) if x["type"] == "Split" and "Regex" in x["pattern"] and r"[\p{L}]+" in x["pattern"]["Regex"]]
         found = [x["type"] for kind, several in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers")) for x in (steps[kind] or {}).get(several, [])]
         self._plain = self._split = self._special = None
         if found == STEPS and len(splits) == 1:
@@ -96,7 +96,7 @@ class Encoder:
                 self._bytes = {ord(c): bytewise.pre_tokenize_str(c)[0][0] for c in set("".join(self._lower.values()))}
                 self._special = [x["content"] for x in steps["added_tokens"]]
                 self._plain = regex.compile("[ " + "".join(map(regex.escape, plain)) + "]*").fullmatch
-                self._split = regex.compile(f"{splits[0]}| ").findall  # a space ends a word
+                self._split = regex.compile(splits[0]).findall
 
     def __call__(self, text: str | None) -> bytes:
         words = (text or "").encode().split()
@@ -119,22 +119,27 @@ class Encoder:
             new, joined = [t.encode() for t in texts], " ".join(texts)
             if not new:
                 return
-        own = self._split(joined.translate(self._lower))
         if len(self._parts) > self._most:
             self._parts = dict(islice(self._parts.items(), self._most // 2))
-        parts, model, kind = self._parts, self._tokenizer.model, "H" if self.width == 2 else "I"
-        for part in set(own).difference(parts):
-            made = model.tokenize(part.translate(self._bytes)) if part != " " else ()
+        parts, known = self._parts, self._known
+        cut = [self._cut(w) for w in joined.translate(self._lower).split(" ")]
+        model, kind = self._tokenizer.model, "H" if self.width == 2 else "I"
+        for part in set(chain.from_iterable(cut)).difference(parts):
+            made = model.tokenize(part.translate(self._bytes))
             parts[part] = pack(f"<{len(made)}{kind}", *[t.id for t in made])
-        known, at = self._known, 0
-        own.append(" ")
-        for word in new:
-            end = own.index(" ", at)
-            known[word] = parts[own[at]] if end == at + 1 else b"".join([parts[x] for x in own[at:end]])
-            at = end + 1
+        for word, own in zip(new, cut):
+            known[word] = parts[own[0]] if len(own) == 1 else b"".join([parts[x] for x in own])
+
+    def _cut(self, word: str) -> Sequence[str]:
+        """A word's pre-tokens; letters alone, or with one other character behind them, need no pattern."""
+        if word.isalpha():
+            return (word,)
+        if word[:-1].isalpha():
+            return word[:-1], word[-1]
+        return self._split(word)
 
     def _simple(self, text: str) -> bool:
-        return self._plain(text) is not None and not any(x in text for x in self._special)
+        return (text.isprintable() and max(text) < chr(PLAIN) or self._plain(text) is not None) and not any(x in text for x in self._special)
 
     def _learn_whole(self, texts: list[str]) -> None:
         for text, made in zip(texts, self._tokenizer.encode_batch(texts, add_special_tokens=False)):
