@@ -67,6 +67,14 @@ def split_windows(spark: SparkSession, start: str, end: str, months: int = WINDO
     return spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(windows(start, end, months))], "pos int, bgn_de string, end_de string")
 
 
+def day_range(df: DataFrame, day: str) -> tuple[str, str]:
+    """The first and the last day of a column of dates, as YYYYMMDD: one row reaches the driver. No dates are an error."""
+    first, last = df.agg(F.date_format(F.min(day), "yyyyMMdd"), F.date_format(F.max(day), "yyyyMMdd")).first()
+    if first is None:
+        raise ValueError(f"{day} holds no dates")
+    return first, last
+
+
 def default_range(start: str, end: str, today: str, years: int = 10) -> tuple[str, str]:
     """Missing ends filled in: today, and January 1 some years back. The caller says what day it is."""
     return start or f"{parse_day(today).year - years}0101", end or today

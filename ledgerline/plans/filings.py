@@ -31,9 +31,17 @@ def _text_of(column: str) -> Column:
     return F.col(column).cast("string")
 
 
-@query(_WINDOWS_SQL.format("1996-01-31", "2026-01-31").replace("3 MONTH", "1 MONTH") + " SELECT CAST(pos AS INTEGER) AS pos, strftime(a, '%Y%m%d') AS bgn_de, strftime(b, '%Y%m%d') AS end_de FROM w")
+@query(
+    _WINDOWS_SQL.format("1986-01-31", "2016-01-31").replace("3 MONTH", "1 MONTH")
+    + ", days AS (SELECT CAST(l_shipdate AS DATE) AS day, count(*) AS m FROM lineitem GROUP BY ALL)"
+    + " SELECT CAST(pos AS INTEGER) AS pos, strftime(a, '%Y%m%d') AS bgn_de, strftime(b, '%Y%m%d') AS end_de, CAST(coalesce(sum(m), 0) AS BIGINT) AS n FROM w LEFT JOIN days ON day BETWEEN a AND b GROUP BY ALL"
+)
 def window_split_30_years(spark, sf_dir):
-    return dates.split_windows(spark, "19960131", "20260131", 1)
+    """Months of 30 years, from a day that many months lack, with the lines that were shipped in each."""
+    days = table(spark, sf_dir, "lineitem").groupBy(F.date_format("l_shipdate", "yyyyMMdd").alias("day")).agg(F.count("*").alias("m"))
+    windows = dates.split_windows(spark, "19860131", "20160131", 1)
+    met = windows.join(days, (F.col("day") >= F.col("bgn_de")) & (F.col("day") <= F.col("end_de")), "left")
+    return met.groupBy("pos", "bgn_de", "end_de").agg(F.coalesce(F.sum("m"), F.lit(0)).alias("n"))
 
 
 def _report(key: Column) -> Column:
@@ -215,7 +223,7 @@ def extraction_summary(spark, sf_dir):
 
 @query(
     """
-    WITH d AS (SELECT doc_id, lang = 'fr' AS bad, doc_id % 2 = 0 AS hit, doc_id % 3 AS n FROM documents WHERE lang IS NOT NULL)
+    WITH d AS (SELECT doc_id, coalesce(lang = 'fr', false) AS bad, doc_id % 2 = 0 AS hit, doc_id % 3 AS n FROM documents)
     SELECT 'total' AS section, key, n FROM (SELECT count(*) AS targets, count_if(NOT bad) AS tagged_ok, count_if(bad) AS failed, CAST(coalesce(sum(CASE WHEN NOT bad THEN n END), 0) AS BIGINT) AS dropped_total, count_if(NOT bad AND hit) AS cache_hits FROM d)
       UNPIVOT (n FOR key IN (targets, tagged_ok, failed, dropped_total, cache_hits))
     UNION ALL SELECT 'tag', '손상', count(*) FROM d WHERE NOT bad UNION ALL SELECT 'tag', '리스', count(*) FROM d WHERE NOT bad AND hit
@@ -223,7 +231,7 @@ def extraction_summary(spark, sf_dir):
 )
 def tagging_summary(spark, sf_dir):
     key, hit = F.col("doc_id"), F.col("doc_id") % 2 == 0
-    tagged = table(spark, sf_dir, "documents").filter("lang is not null").select(
+    tagged = table(spark, sf_dir, "documents").select(
         F.when(hit, F.array(F.lit("손상"), F.lit("리스"))).otherwise(F.array(F.lit("손상"))).alias("tags"), F.array_repeat(F.lit("x"), (key % 3).cast("int")).alias("dropped"),
         F.when(F.col("lang") == "fr", "TimeoutError").alias("error"), hit.alias("cache_hit"),
     )

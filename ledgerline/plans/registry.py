@@ -221,9 +221,17 @@ _WINDOWS_SQL = """
 """
 
 
-@query(_WINDOWS_SQL.format("2023-11-30", "2025-02-14") + " SELECT CAST(pos AS INTEGER) AS pos, strftime(a, '%Y%m%d') AS bgn_de, strftime(b, '%Y%m%d') AS end_de FROM w")
+@query(
+    """
+    WITH RECURSIVE ends AS (SELECT CAST(min(o_orderdate) AS DATE) AS a, CAST(max(o_orderdate) AS DATE) AS b FROM orders), w(pos, a, b) AS (
+      SELECT 0, a, least(CAST(a + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE), b) FROM ends
+      UNION ALL SELECT pos + 1, w.b + 1, least(CAST((w.b + 1) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE), ends.b) FROM w, ends WHERE w.b < ends.b)
+    SELECT CAST(pos AS INTEGER) AS pos, strftime(a, '%Y%m%d') AS bgn_de, strftime(b, '%Y%m%d') AS end_de FROM w
+    """
+)
 def window_split(spark, sf_dir):
-    return dates.split_windows(spark, "20231130", "20250214")
+    """The windows of the time in which orders were made."""
+    return dates.split_windows(spark, *dates.day_range(table(spark, sf_dir, "orders"), "o_orderdate"))
 
 
 @query(
@@ -239,15 +247,20 @@ def window_bucket_counts(spark, sf_dir):
 
 @query(
     """
-    WITH t AS (SELECT * FROM (VALUES (0, 'F', '감사보고서'), (1, 'A', '사업보고서')) v(i, ty, kw)), """
-    + _WINDOWS_SQL.format("2025-01-31", "2025-12-31").strip().removeprefix("WITH RECURSIVE ")
-    + " SELECT ty || '|' || kw || '|' || strftime(a, '%Y%m%d') || '|' || strftime(b, '%Y%m%d') AS task_key FROM t, w"
+    WITH RECURSIVE t AS (SELECT * FROM (VALUES ('F', '감사보고서'), ('A', '사업보고서')) v(ty, kw)), ends AS (SELECT CAST(min(o_orderdate) AS DATE) AS a, CAST(max(o_orderdate) AS DATE) AS b FROM orders), w(pos, a, b) AS (
+      SELECT 0, a, least(CAST(a + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE), b) FROM ends
+      UNION ALL SELECT pos + 1, w.b + 1, least(CAST((w.b + 1) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE), ends.b) FROM w, ends WHERE w.b < ends.b),
+    n AS (SELECT w.a, w.b, count(o_orderkey) AS n FROM w LEFT JOIN orders ON CAST(o_orderdate AS DATE) BETWEEN w.a AND w.b GROUP BY ALL)
+    SELECT ty || '|' || kw || '|' || strftime(a, '%Y%m%d') || '|' || strftime(b, '%Y%m%d') AS task_key, n FROM t, n
+    """
 )
 def collection_tasks(spark, sf_dir):
-    return collect.tasks(spark, "20250131", "20251231").select("task_key")
-
-
-ORACLE_SQL["collection_tasks"] = ORACLE_SQL["collection_tasks"].replace("WITH t AS", "WITH RECURSIVE t AS", 1)
+    """The tasks that collect the orders' time, with the number of orders that each would meet."""
+    orders = table(spark, sf_dir, "orders")
+    days = orders.groupBy(F.date_format("o_orderdate", "yyyyMMdd").alias("day")).agg(F.count("*").alias("m"))
+    tasks = collect.tasks(spark, *dates.day_range(orders, "o_orderdate"))
+    met = tasks.join(days, (F.col("day") >= F.col("bgn_de")) & (F.col("day") <= F.col("end_de")), "left")
+    return met.groupBy("task_key").agg(F.coalesce(F.sum("m"), F.lit(0)).alias("n"))
 
 
 @query("SELECT k.key AS event_type, count(e.event_type) AS n FROM (VALUES ('view'), ('click'), ('purchase'), ('refund')) k(key) LEFT JOIN (SELECT CASE WHEN event_type IN ('view', 'click', 'purchase') THEN event_type ELSE 'refund' END AS event_type FROM events) e ON e.event_type = k.key GROUP BY k.key")
