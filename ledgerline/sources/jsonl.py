@@ -27,6 +27,16 @@ def read_lines(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame,
     return parsed.filter(fine).select("line_no", "x.*").drop(BROKEN), parsed.filter(~fine).select("line_no", "value")
 
 
+def placed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(value, at) of the lines of a file or a folder that are not blank; ``at`` orders lines within and across files.
+
+    It is the file's path, the place of the block that the line was read from, and the line's number in the reading of it: the
+    order is that of names and places, in whatever order tasks read them.
+    """
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("n"))
+    return raw.filter(F.trim("value") != "").select("value", F.struct(F.col("f").alias("file"), F.col("b").alias("block"), F.col("n").alias("line")).alias("at"))
+
+
 def read_manifest(spark: SparkSession, path: str, row: str) -> DataFrame:
     """The records of a manifest with their position; a manifest without a list of records is an error."""
     text = spark.read.text(path, wholetext=True)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import keep_last
-from ..session import listed
+from ..session import cut_lineage, listed
 
 
 def guard_parameters(spark: SparkSession, path: str, parameters: dict) -> None:
@@ -62,6 +62,33 @@ def read_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return _latest_version(spark, path, schema)[1]
 
 
+def upsert_buckets(spark: SparkSession, path: str, schema: str, fresh: DataFrame, key: str, pos: str, buckets: int = 64) -> DataFrame:
+    """A state in buckets of its key's hash: only buckets that fresh keys fall into are rewritten; reads the state back.
+
+    Of equal fresh keys the last position wins, over the state in any case; null keys are none. Each bucket is replaced as a
+    whole when the job has ended (dynamic partition overwrite); a repeated call with the same rows gives the same state.
+    ``pos`` is a column of ``fresh`` alone. The number of buckets stays what it was at first: ``guard_parameters`` keeps it.
+    """
+    guard_parameters(spark, f"{path}/_parameters", {"key": key, "buckets": buckets})
+    bucket = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
+    old = read_buckets(spark, path, schema, with_bucket=True)
+    names = [c for c in old.columns if c != "bucket"]
+    new = keep_last(fresh.filter(F.col(key).isNotNull()), [key], pos).select(*names).withColumn("bucket", bucket)
+    touched = [r.bucket for r in new.select("bucket").distinct().collect()]  # as many as there are buckets
+    kept = old.filter(F.col("bucket").isin(*touched)).join(new.select(key), key, "left_anti") if touched else old.limit(0)
+    merged = cut_lineage(kept.select(*names, "bucket").unionByName(new))
+    if touched:
+        merged.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+    return read_buckets(spark, path, schema)
+
+
+def read_buckets(spark: SparkSession, path: str, schema: str, with_bucket: bool = False) -> DataFrame:
+    """A state in buckets; empty where there is none."""
+    there = any(x.startswith("bucket=") for x in listed(spark, path))
+    state = spark.read.schema(f"{schema}, bucket int").parquet(path) if there else spark.createDataFrame([], f"{schema}, bucket int")
+    return state if with_bucket else state.drop("bucket")
+
+
 def run_new_files(spark: SparkSession, source: str, schema: str, transform: Callable[[DataFrame], DataFrame], sink: str, checkpoint: str, key: str, pos: str) -> None:
     """Processes the files that were not seen before; of equal keys in the sink the last position wins.
 
