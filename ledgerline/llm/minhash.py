@@ -15,8 +15,9 @@ the closest ``CLOSEST`` pairs go first, and the others follow if these leave the
 vertex throughout; classes are the connected components.
 
 The alignment is the longest common run of items in order, gaps allowed. Equal items are matched by occurrence number
-first; if that is not enough, any occurrences inside the band may match, where there are ``MOST_MATCHES`` such matches
-at most. Work on a pair is thus bounded, also for texts of millions of words.
+first; if that is not enough, any occurrences inside the band may match, which is worked out for a whole band of places at
+once, one bit a place. The band holds every place that a link could use, so that the answer is exact for texts of any length;
+such a pair takes items times the band's places / 64 steps, and memory for some bands of bits.
 
 Defined results: a null text is a class of its own and kept; equal texts, empty ones too, are copies; a text without
 words has copies only. A null id never represents a class: such a row joins the class of its text's other rows and goes,
@@ -27,6 +28,7 @@ other columns are not read.
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -46,8 +48,8 @@ SKETCHES, LENGTH = 24, 5
 SHORT, SHORT_LENGTH = 16, 2
 #: Texts of a bucket in one block, about; pairs of two classes that a block gives at first.
 BLOCK, CLOSEST = 1024, 4
-#: Matches of repeated items that one alignment looks at, at most.
-MOST_MATCHES = 2_000_000
+#: Bytes of places of repeated items that one alignment keeps at hand (others are made again when met).
+PLACES_KEPT = 16 << 20
 #: Bits of a text's bitmap (a long text's bitmap only rules out less).
 LEAST_BITS, MOST_BITS = 1 << 8, 1 << 16
 _FACTORS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)) | np.uint64(1)
@@ -121,22 +123,72 @@ def _in_order(position: np.ndarray) -> int:
     return len(tails)
 
 
-def _any_occurrence(a: np.ndarray, b: np.ndarray, most: int) -> int:
-    """Matched items in order if any occurrences ``most`` places apart may match; -1 beyond ``MOST_MATCHES`` matches."""
+def _common_ends(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
+    """Equal items at the start and, after these, at the end of both."""
+    n = min(len(a), len(b))
+    differ = np.flatnonzero(a[:n] != b[:n])
+    first = int(differ[0]) if len(differ) else n
+    n -= first
+    differ = np.flatnonzero(a[len(a) - n :][::-1] != b[len(b) - n :][::-1])
+    return first, int(differ[0]) if len(differ) else n
+
+
+def _bits(at: np.ndarray, width: int) -> int:
+    if len(at) <= 4:
+        return sum(1 << int(p) for p in at)
+    flags = np.zeros(width, np.uint8)
+    flags[at] = 1
+    return int.from_bytes(np.packbits(flags, bitorder="little").tobytes(), "little")
+
+
+def _any_occurrence(a: np.ndarray, b: np.ndarray, most: int, needed: int) -> bool:
+    """Whether ``needed`` items match in order, any occurrences allowed, where at most ``most`` items may stay unmatched.
+
+    A match d places off its own place leaves |d| items before it and |len(b) - len(a) - d| after it unmatched, so that only
+    places of a band can be part of an answer. A bit of ``row`` is 0 where one more item of b's part up to it is matched; one
+    item of a is a few operations on the band's bits. Rows are taken in runs, between which the band moves on.
+    """
+    start, end = _common_ends(a, b)
+    needed -= start + end
+    a, b = a[start : len(a) - end], b[start : len(b) - end]
+    if needed <= 0:
+        return True
+    apart = len(b) - len(a)
+    low, high = (apart - most) // 2, (apart + most) // 2 + 1
     order = np.argsort(b, kind="stable")
-    low, high = np.searchsorted(b[order], a, "left"), np.searchsorted(b[order], a, "right")
-    if int((high - low).sum()) > MOST_MATCHES:
-        return -1
-    tails: list[int] = []
-    for i in np.flatnonzero(high > low).tolist():
-        at = order[low[i] : high[i]]
-        for p in at[np.abs(at - i) <= most][::-1].tolist():
-            k = bisect_left(tails, p)
-            if k == len(tails):
-                tails.append(p)
-            else:
-                tails[k] = p
-    return len(tails)
+    first, last = np.searchsorted(b, a, "left", order), np.searchsorted(b, a, "right", order)
+    run = max(256, (high - low) // 2)
+    passed, left, row, size = 0, 0, 0, 0
+    for begin in range(0, len(a), run):
+        stop = min(begin + run, len(a))
+        to = max(left, min(len(b), max(0, begin + low)))
+        upto = max(to, min(len(b), stop + high))
+        gone = min(to - left, size)
+        passed += gone - (row & ((1 << gone) - 1)).bit_count()
+        row >>= gone
+        size -= gone
+        left = to
+        row |= ((1 << (upto - left - size)) - 1) << size
+        size = upto - left
+        every, kept, room = (1 << size) - 1, {}, PLACES_KEPT
+        for i in range(begin, stop):
+            if first[i] == last[i]:
+                continue
+            places = kept.get(first[i])
+            if places is None:
+                at = order[first[i] : last[i]]
+                at = at[np.searchsorted(at, left) : np.searchsorted(at, upto)] - left
+                places = _bits(at, size)
+                if len(at) > 1 and room >= size // 8:
+                    kept[first[i]] = places
+                    room -= size // 8
+            met = row & places
+            if met:
+                row = ((row + met) | (row - met)) & every
+        matched = passed + size - row.bit_count()
+        if matched >= needed or matched + len(a) - stop < needed:
+            return matched >= needed
+    return False
 
 
 def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
@@ -154,7 +206,7 @@ def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
     if enough(_in_order(pa_[near][np.argsort(pb_[near])])):
         return True
     repeated = (own_a != a).any() or (own_b != b).any()
-    return bool(repeated) and enough(_any_occurrence(a, b, most))
+    return bool(repeated) and _any_occurrence(a, b, most, math.ceil((least * n - 1e-9) / (1 + least)))
 
 
 def _digest(text: str) -> F.Column:

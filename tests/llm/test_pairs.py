@@ -178,7 +178,55 @@ def test_long_texts_have_a_defined_end():
     same = np.zeros(400_000, np.uint32)
     assert minhash.similar(same, same[:350_000]) and not minhash.similar(same, same[:300_000])
     mixed = np.tile(np.arange(3, dtype=np.uint32), 100_000)
-    assert isinstance(minhash.similar(mixed, np.roll(mixed, 1)), bool)
+    assert minhash.similar(mixed, np.roll(mixed, 1))  # all but one match
+
+
+def _longest(a, b) -> int:
+    """The longest common run in order, by the plain table."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = 0
+        for k, y in enumerate(b, 1):
+            before, row[k] = row[k], before + 1 if x == y else max(row[k], row[k - 1])
+    return row[-1]
+
+
+def test_repeated_items_are_aligned_as_by_the_plain_table():
+    draw, seen = np.random.default_rng(11), []
+    for trial in range(400):
+        a = draw.integers(0, draw.choice([1, 2, 3, 8, 60]), draw.integers(1, 130)).astype(np.uint32)
+        b = np.delete(a, draw.integers(0, len(a), draw.integers(0, len(a) // 4 + 1)))
+        b = np.insert(b, draw.integers(0, len(b) + 1, draw.integers(0, 12)), draw.integers(0, 3)).astype(np.uint32)
+        b = np.roll(b, draw.integers(-6, 7)) if trial % 3 == 0 else b
+        m = _longest(a.tolist(), b.tolist())
+        want = m >= 0.8 * (len(a) + len(b) - m) - 1e-9
+        assert minhash.similar(a, b) == want, (a.tolist(), b.tolist())
+        seen.append(want)
+    assert 100 < sum(seen) < 350
+
+
+def test_repeated_items_in_several_runs_of_rows(monkeypatch):
+    monkeypatch.setattr(minhash, "PLACES_KEPT", 64)
+    draw, seen = np.random.default_rng(12), []
+    for _ in range(12):
+        a = draw.integers(0, 12, 1_500).astype(np.uint32)
+        b = np.delete(np.roll(a, draw.integers(0, 60)), draw.integers(0, 1_500, draw.integers(0, 500)))
+        m = _longest(a.tolist(), b.tolist())
+        seen.append(m >= 0.8 * (len(a) + len(b) - m) - 1e-9)
+        assert minhash.similar(a, b) == minhash.similar(b, a) == seen[-1]
+    assert 0 < sum(seen) < 12
+
+
+def test_lost_copies_of_one_repeated_window():
+    def text(copies, seed=13):
+        own = np.random.default_rng(seed).integers(10, 1 << 32, 2_000, dtype=np.uint64).astype(np.uint32)
+        return np.concatenate([own[:1_000], np.zeros(copies, np.uint32), own[1_000:]])
+
+    assert minhash.similar(text(6_020), text(6_000))
+    spread = np.zeros(8_020, np.uint32)
+    spread[::7] = np.arange(1, len(spread[::7]) + 1)
+    assert minhash.similar(spread, np.delete(spread, np.arange(1, 200, 7)))
+    assert not minhash.similar(spread, spread[:6_000])
 
 
 def test_ids_with_two_texts_share_a_class(spark):
