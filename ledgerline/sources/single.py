@@ -19,7 +19,7 @@ from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMes
 BLOCK = 1 << 20
 
 
-def _files(path: str):
+def arrow_files(path: str):
     """Arrow's file system of a path, and the path in it."""
     from pyarrow import fs
 
@@ -40,7 +40,7 @@ class SingleWriter(DataSourceWriter):
         self.folder = f"{self.path}.parts-{uuid.uuid4().hex}"
 
     def write(self, iterator: Iterator) -> Part:
-        files, folder = _files(self.folder)
+        files, folder = arrow_files(self.folder)
         files.create_dir(folder)
         place, rows = TaskContext.get().partitionId(), 0
         path = f"{folder}/{place:06d}-{uuid.uuid4().hex}"
@@ -51,8 +51,8 @@ class SingleWriter(DataSourceWriter):
         return Part(place, path, rows)
 
     def commit(self, messages: list[Part | None]) -> None:
-        files, folder = _files(self.folder)
-        _, path = _files(self.path)
+        files, folder = arrow_files(self.folder)
+        _, path = arrow_files(self.path)
         files.create_dir(folder)
         parts = sorted((m for m in messages if m is not None and m.rows), key=lambda m: m.place)
         with files.open_output_stream(f"{folder}/whole") as out:
@@ -67,7 +67,7 @@ class SingleWriter(DataSourceWriter):
         files.delete_dir(folder)
 
     def abort(self, messages: list[Part | None]) -> None:
-        files, folder = _files(self.folder)
+        files, folder = arrow_files(self.folder)
         if files.get_file_info(folder).type.name != "NotFound":
             files.delete_dir(folder)
 
