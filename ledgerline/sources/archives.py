@@ -3,49 +3,32 @@
 from __future__ import annotations
 
 import io
-import json
-import zipfile
-import zlib
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators.facts import document_head, entry_kind
-
-ENTRY = "path string, entry_pos int, filename string, size long, content binary, error string"
+from . import elements
+from .elements import ENTRY
 
 
 def explode_archives(files: DataFrame) -> DataFrame:
-    """Entries of (path, content) archives; one archive is open at a time.
-
-    An archive of which any entry cannot be read is one row with an error and no other. A body that is JSON in place of
-    an archive is the error ``json``, its message in ``filename``.
-    """
+    """Entries of (path, content) archives, one at a time: ``elements.archive_entries`` tells what becomes of damaged ones."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [part.split()[0] for part in ENTRY.split(", ")]
-        for frame in frames:
-            for path, content in zip(frame["path"], frame["content"]):
-                try:
-                    if (content or b"").lstrip()[:1] == b"{":
-                        yield pd.DataFrame([(path, None, str(json.loads(content).get("message", "")), None, None, "json")], columns=names).astype({"entry_pos": "Int32", "size": "Int64"})
-                        continue
-                    with zipfile.ZipFile(io.BytesIO(content or b"")) as archive:
-                        entries = [i for i in archive.infolist() if not i.is_dir() and i.filename.lower().endswith(".xml")]
-                        rows = [(path, pos, info.filename, info.file_size, archive.read(info), None) for pos, info in enumerate(entries)]
-                    yield pd.DataFrame(rows, columns=names)
-                except (zipfile.BadZipFile, zlib.error, EOFError, OSError, NotImplementedError, RuntimeError, ValueError) as e:
-                    yield pd.DataFrame([(path, None, None, None, None, type(e).__name__)], columns=names).astype({"entry_pos": "Int32", "size": "Int64"})
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            for path, content in zip(*batch.columns):
+                yield from elements.batches(elements.archive_entries(path.as_py(), io.BytesIO(content.as_py() or b"")), elements.ENTRIES)
 
-    return files.select("path", "content").mapInPandas(run, ENTRY)
+    return files.select("path", "content").mapInArrow(run, ENTRY)
 
 
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     """Classified entries of the archives below a folder."""
-    entries = explode_archives(spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.zip").load(folder))
+    entries = elements.zip_entries(spark, folder)
     name, code = document_head(F.col("content"))
     return entries.withColumn("document_name", name).withColumn("acode", code).withColumn("kind", F.when(F.col("error").isNull(), entry_kind(F.col("document_name"), F.col("acode"))))
 
@@ -55,14 +38,12 @@ def read_master(spark: SparkSession, folder: str) -> DataFrame:
 
     A missing element is an empty string. An archive that cannot be read is an error.
     """
-    entries = explode_archives(spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.zip").load(folder))
-    broken = entries.filter("error is not null").select("path", "error").limit(1).collect()
+    broken = elements.zip_entries(spark, folder).filter("error is not null").select("path", "error").limit(1).collect()
     if broken:
         raise ValueError(f"{broken[0].path}: {broken[0].error}")
-    records = F.posexplode(F.regexp_extract_all(F.col("content").cast("string"), F.lit(r"(?s)<list>.*?</list>"), F.lit(0))).alias("pos", "raw")
     names = ("corp_code", "corp_name", "stock_code", "modify_date")
-    read = F.from_xml("raw", ", ".join(f"{n} string" for n in names), {"ignoreSurroundingSpaces": "false"})
-    return entries.filter("entry_pos = 0").select(records).withColumn("x", read).select("pos", *(F.coalesce(f"x.{n}", F.lit("")).alias(n) for n in names))
+    read = F.from_xml("value", ", ".join(f"{n} string" for n in names), {"ignoreSurroundingSpaces": "false"})
+    return elements.zip_rows(spark, folder, "list").withColumn("x", read).select("pos", *(F.coalesce(f"x.{n}", F.lit("")).alias(n) for n in names))
 
 
 def entry_summary(chosen: DataFrame, archives: DataFrame, include: str = "both") -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..dictionaries import CORRECTION_MARKERS
 from ..functions.text import strip
 from ..operators.search import without_markers
+from . import elements
 
 BROKEN = "_corrupt_record"
 
@@ -38,18 +39,22 @@ def placed_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_manifest(spark: SparkSession, path: str, row: str) -> DataFrame:
-    """The records of a manifest with their position; a manifest without a list of records is an error."""
-    text = spark.read.text(path, wholetext=True)
-    records = text.select(F.from_json("value", f"records array<struct<{row}>>").alias("m"))
-    if records.filter("m.records is null").limit(1).count():
-        raise ValueError(f"{path}: no list of records")
-    return records.select(F.posexplode("m.records").alias("pos", "r")).select("pos", "r.*")
+    """The records of a manifest with their position, read one by one; a manifest without a list of records is an error.
+
+    That is told at once. A manifest that is torn further on is an error when it is read.
+    """
+    try:
+        read = elements.json_elements(spark, path, "records")
+        read.limit(1).collect()
+    except Exception as e:
+        raise ValueError(f"{path}: no list of records") from e
+    return read.select("pos", F.from_json("value", f"struct<{row}>").alias("r")).select("pos", "r.*")
 
 
 def read_codes(spark: SparkSession, path: str) -> DataFrame:
     """A JSON array of strings with positions; blank entries go."""
-    text = spark.read.text(path, wholetext=True).select(F.from_json("value", "array<string>").alias("x"))
-    return text.select(F.posexplode("x").alias("pos", "rcept_no")).withColumn("rcept_no", F.trim("rcept_no")).filter("rcept_no <> ''")
+    text = F.get_json_object(F.concat(F.lit('{"x":'), F.col("value"), F.lit("}")), "$.x")
+    return elements.json_elements(spark, path).select("pos", F.trim(text).alias("rcept_no")).filter("rcept_no <> ''")
 
 
 def read_filings(spark: SparkSession, path: str, exclude_corrections: bool = False) -> DataFrame:
