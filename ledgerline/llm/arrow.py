@@ -38,14 +38,6 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str, most: int = CHARS_AT_ON
     pa.default_memory_pool().release_unused()  # the worker may stay idle from here on
 
 
-def unused(df: DataFrame, name: str) -> str:
-    """A column name that the table does not have, in any case of letters."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
 def smallest(keys: DataFrame, kind: str, rows: int, chars: int) -> DataFrame:
     """(__hash, ``kind``) of each kind's distinct texts with the smallest hashes: ``rows`` of them at most, and so many as
     hold ``chars`` characters in all, but one at least. Long texts come last, so that they do not crowd out the others.

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from .arrow import annotate, keep_where, smallest
 from .bpe import LETTER, character_classes
+from .columns import by_place
 from .segments import code_points
 
 SAMPLE_PER_LANGUAGE, SAMPLE_ROWS, SAMPLE_CHARS = 400, 8000, 16_000_000
@@ -247,7 +248,8 @@ def keep_identified(docs: DataFrame, languages: Sequence[str] | None = None, lea
     ``ambiguous``, those whose best two languages lie too close together: mixed texts, other languages, noise. Where no
     language could be learned, all texts with letters stay. Equal rows stay or go together; null ids stay.
     """
-    decoder, wanted = learn(docs), None if languages is None else set(languages)
+    named = by_place(docs, "doc_id", "text", "lang")
+    decoder, wanted = learn(named), None if languages is None else set(languages)
 
     def make():
         def apply(texts):
@@ -259,4 +261,4 @@ def keep_identified(docs: DataFrame, languages: Sequence[str] | None = None, lea
 
         return apply
 
-    return keep_where(docs, make)
+    return keep_where(named, make).toDF(*docs.columns)

@@ -38,7 +38,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .arrow import annotate, grouped, unused
+from .arrow import annotate, grouped
+from .columns import by_place, unused
 from .components import components, further
 from .segments import code_points, hashes, mix, words
 
@@ -392,6 +393,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     A null text stays. A row with a null id stays if no row of its text has an id. An empty table gives no rows.
     """
+    names, docs = docs.columns, by_place(docs, id_col, text_col)
     judged = cut_lineage(near_duplicates(docs, id_col, text_col))
     known = judged.filter(F.col(id_col).isNotNull())
     repeated = cut_lineage(known.groupBy(id_col).agg(F.count("*").alias("n")).filter("n > 1").select(id_col))
@@ -404,4 +406,4 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
         nameless = docs.filter(F.col(id_col).isNull())
         represented = docs.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(_digest(text_col).alias(digest)).distinct()
         stays = stays.unionByName(nameless.withColumn(digest, _digest(text_col)).join(represented, digest, "left_anti").drop(digest))
-    return stays.select(docs.columns)
+    return stays.select(docs.columns).toDF(*names)

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .arrow import annotate, pieces
+from .columns import by_place
 
 ROUNDS = 10
 KINDS = ("card", "date", "ip", "phone", "email", "iban", "ssn")
@@ -236,6 +237,7 @@ def pseudonymise(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col:
 
 def mask(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
     """The documents, all columns kept, with pseudonyms in their texts."""
+    names, docs = docs.columns, by_place(docs, text_col)
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,4 +245,4 @@ def mask(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
         for batch, texts in pieces(batches, text_col):
             yield batch.set_column(at, batch.schema.field(at), pa.array([replace(t)[0] for t in texts], batch.schema.field(at).type))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema).toDF(*names)

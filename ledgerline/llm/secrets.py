@@ -28,6 +28,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .columns import by_place
+
 #: The rules, in the order that kinds are listed.
 RULES = {
     "assign": r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -206,6 +208,7 @@ def redact(docs: DataFrame, model: Model | None = None, text_col: str = "text",
     Spans that overlap or touch get one mask. ``n_chars``, where the documents have it, is brought up to date for the
     texts that change.
     """
+    names, docs = docs.columns, by_place(docs, text_col, chars_col)
     found = _spans(docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("text")), model or default_model(docs.sparkSession))
     found = found.select("row", "text", *(_filled(k).alias(f"f_{k}") for k in _PATTERNS)).withColumn("masked", F.col("text"))
     for k in _PATTERNS:
@@ -215,4 +218,4 @@ def redact(docs: DataFrame, model: Model | None = None, text_col: str = "text",
     own = {text_col: F.col("text")}
     if chars_col in docs.columns:
         own[chars_col] = F.when(F.col("changed"), F.length("text").cast(dict(docs.dtypes)[chars_col])).otherwise(F.col("row")[chars_col])
-    return found.select(*(own.get(c, F.col("row")[c]).alias(c) for c in docs.columns))
+    return found.select(*(own.get(c, F.col("row")[c]).alias(c) for c in docs.columns)).toDF(*names)
