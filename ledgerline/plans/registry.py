@@ -444,4 +444,4 @@ def receipt_period(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", period.alias("p")).select("o_orderkey", F.col("p.year").alias("fiscal_year"), F.col("p.month").alias("settlement_month"))
 
 
-from . import answering, filings, holdings, lookups  # noqa: E402, F401  (register their queries)
+from . import answering, filings, holdings, lookups, states  # noqa: E402, F401  (register their queries)
