@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ledgerline.functions.automaton import PIECE, Automaton
+from ledgerline.functions.wordtable import WordTable
 from ledgerline.operators import dictionary, lookup
 
 LETTERS = st.text("abcé수익", min_size=1, max_size=5)
@@ -120,3 +121,24 @@ def test_automaton_size_is_bounded():
     terms = [f"{i:08x}" for i in np.random.default_rng(1).integers(0, 1 << 32, 4000)]
     made = Automaton(sorted(set(terms)))
     assert made.nbytes <= (1 + sum(map(len, set(terms)))) * 1024
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.sets(st.text("abé수", min_size=1, max_size=20), max_size=12), st.lists(st.text("abé수 ", max_size=90), max_size=5))
+def test_word_table_finds_every_occurrence(terms, texts):
+    terms = sorted(terms)
+    texts = [*texts, "".join(terms)]
+    doc, start, term = WordTable(terms).starts([t.encode() for t in texts])
+    got = sorted((d, len(texts[d].encode()[:s].decode()), terms[t]) for d, s, t in zip(doc.tolist(), start.tolist(), term.tolist()))
+    assert got == sorted((d, at, t) for d, text in enumerate(texts) for t in terms for at in places(text, t))
+
+
+def test_a_large_dictionary_needs_one_scan_too(spark, tmp_path):
+    """More terms than an automaton takes: texts are read once, whatever the number of terms."""
+    words = [f"wörter{i:06d}" for i in range(9000)]
+    spark.createDataFrame([(i, f"{words[i]} x{words[-1 - i]}x") for i in range(60)] + [(99, None)], "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    found = dictionary.terms_in(docs, spark.createDataFrame([(i, "w", w) for i, w in enumerate(words)], "pos long, name string, term string"), "doc_id")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan and "Exchange" not in plan
+    assert {r.doc_id: [(x.pos, x.n, x.first) for x in r.terms] for r in found.collect()} == {i: [(i, 1, 1), (8999 - i, 1, 15)] for i in range(60)} | {99: []}
