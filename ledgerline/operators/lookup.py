@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from ..functions.text import strip
 
 EXACT, PREFIX, CONTAINS = 0, 1, 2
-#: Characters of a run in the index of names.
-GRAM = 3
+#: Characters of the longest runs in the index of names.
+LONGEST = 32
 
 
 def match_rank(name: Column, query: Column | str) -> Column:
@@ -55,36 +55,40 @@ def grams(c: Column, n: int) -> Column:
 
 
 def matching_names(names: DataFrame, queries: DataFrame) -> DataFrame:
-    """(query, name, rank) of folded names (column ``name``, distinct) that each query (``query``) is equal to, starts or is in.
+    """(wanted, name, rank) of folded names (column ``name``, distinct) that each folded query (``wanted``) is equal to, starts or is in.
 
-    Names are indexed by their runs of ``GRAM`` characters. A query meets only the names that hold its rarest run, by an
-    equality join; these are then compared in full. Queries of fewer characters are a run themselves.
+    Names are indexed by their runs of just the lengths that are asked for, so that a query meets the names that hold it, by
+    an equality join, and no others. A query of more than ``LONGEST`` characters meets the names that hold its rarest run
+    of so many, and is compared in full. No side is broadcast: names and queries both grow.
     """
-    asked = queries.select("query").distinct().withColumn("wanted", F.lower(strip(F.col("query")))).filter("wanted <> ''").withColumn("size", F.least(F.length("wanted"), F.lit(GRAM)))
-    sizes = sorted(r[0] for r in asked.select("size").distinct().collect())
-    index = names.select("name", F.explode(F.concat(F.array().cast("array<string>"), *(grams(F.col("name"), n) for n in sizes))).alias("gram"))
-    own = F.coalesce(*(F.when(F.col("size") == n, grams(F.col("wanted"), n)) for n in sizes), F.array().cast("array<string>"))
-    runs = asked.select("query", "wanted", F.explode(own).alias("gram"))
-    often = index.groupBy("gram").agg(F.count("*").alias("n"))
-    rarest = runs.join(often, "gram", "left").groupBy("query", "wanted").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("x")).filter("x.n > 0")
-    met = rarest.select("query", "wanted", "x.gram").join(index, "gram")
-    return met.select("query", "name", match_rank(F.col("name"), F.col("wanted")).alias("rank")).filter("rank is not null")
+    asked = queries.select("wanted").filter("wanted <> ''").distinct().withColumn("size", F.least(F.length("wanted"), F.lit(LONGEST)))
+    sizes = sorted(r[0] for r in asked.select("size").distinct().collect())  # LONGEST of them at most
+    runs = lambda n: F.flatten(F.array(F.array().cast("array<string>"), *(grams(F.col("name"), i) for i in n)))
+    index = names.select("name", F.explode(runs(sizes)).alias("gram"))
+    keyed = asked.filter(F.col("size") < LONGEST).select("wanted", F.col("wanted").alias("gram"))
+    if LONGEST in sizes:
+        own = asked.filter(F.col("size") == LONGEST).select("wanted", F.explode(grams(F.col("wanted"), LONGEST)).alias("gram"))
+        often = names.select(F.explode(runs([LONGEST])).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
+        rarest = own.join(often.hint("merge"), "gram", "left").groupBy("wanted").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("x")).filter("x.n > 0")
+        keyed = keyed.unionByName(rarest.select("wanted", "x.gram"))
+    return keyed.join(index.hint("merge"), "gram").select("wanted", "name", match_rank(F.col("name"), F.col("wanted")).alias("rank")).filter("rank is not null")
 
 
 def resolve_table(master: DataFrame, queries: DataFrame, name: str, code: str, pos: str, most: int = 20) -> DataFrame:
     """``resolve`` for each distinct query of a table: status, code if unique, n_candidates, the first ones, and how many more.
 
-    Names that many rows of the master share are compared once; of each name and of each query no more than ``most`` rows
-    are kept while the first ones are looked for.
+    Names that many rows of the master share are compared once, and so are queries that are folded alike; of each name and
+    of each query no more than ``most`` rows are kept while the first ones are looked for.
     """
     own = master.select(F.lower(F.col(name)).alias("name"), F.col(pos).alias("pos"), F.col(code).alias("code")).filter("name is not null")
     first = lambda df, by: df.withColumn("__n", F.row_number().over(Window.partitionBy(by).orderBy(*([] if by == "name" else ["rank"]), "pos"))).filter(F.col("__n") <= most).drop("__n")
-    met = matching_names(own.select("name").distinct(), queries)
+    asked = queries.select("query").distinct().withColumn("wanted", F.lower(strip(F.col("query"))))
+    met = matching_names(own.select("name").distinct(), asked)
     n_of = own.groupBy("name").agg(F.count("*").alias("n"))
     exact, n = F.col("rank") == EXACT, F.col("n")
-    sums = met.join(n_of, "name").groupBy("query").agg(F.sum(F.when(exact, n).otherwise(0)).alias("n_exact"), F.sum(F.when(exact, 0).otherwise(n)).alias("n_other"))
-    listed = first(met.join(first(own, "name"), "name"), "query").groupBy("query").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "pos", "code"))), lambda x: x["code"]).alias("candidates"))
-    found = queries.select("query").distinct().join(sums, "query", "left").join(listed, "query", "left").na.fill(0, ["n_exact", "n_other"])
+    sums = met.join(n_of.hint("merge"), "name").groupBy("wanted").agg(F.sum(F.when(exact, n).otherwise(0)).alias("n_exact"), F.sum(F.when(exact, 0).otherwise(n)).alias("n_other"))
+    listed = first(met.join(first(own, "name").hint("merge"), "name"), "wanted").groupBy("wanted").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "pos", "code"))), lambda x: x["code"]).alias("candidates"))
+    found = asked.join(sums.hint("merge"), "wanted", "left").join(listed.hint("merge"), "wanted", "left").na.fill(0, ["n_exact", "n_other"])
     one = (F.col("n_exact") == 1) | ((F.col("n_exact") == 0) & (F.col("n_other") == 1))
     total = F.when(F.col("n_exact") > 0, F.col("n_exact")).otherwise(F.col("n_other"))
     status = F.when(one, "unique").when(F.col("n_exact") + F.col("n_other") == 0, "not_found").otherwise("ambiguous")

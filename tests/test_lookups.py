@@ -142,3 +142,44 @@ def test_a_large_dictionary_needs_one_scan_too(spark, tmp_path):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and "Join" not in plan and "Exchange" not in plan
     assert {r.doc_id: [(x.pos, x.n, x.first) for x in r.terms] for r in found.collect()} == {i: [(i, 1, 1), (8999 - i, 1, 15)] for i in range(60)} | {99: []}
+
+
+def test_nothing_that_grows_is_broadcast_and_a_query_meets_its_own_names_alone(spark, sf_dir):
+    from ledgerline.plans.lookups import names_resolved
+
+    plan = names_resolved(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan
+    names = spark.createDataFrame([(f"customer#{i:09d}",) for i in range(3000)], "name string")
+    asked = names.select(F.col("name").alias("wanted"))
+    met = lookup.matching_names(names, asked)
+    assert met.count() == 3000
+    # A filter after the join would hide what the join makes: the join itself has as many rows as there are matches.
+    joins = []
+    todo = [met._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+        if "AdaptiveSparkPlan" in node.nodeName():
+            node.execute().count()
+            todo.append(node.executedPlan())
+        if "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+        if "Join" in node.nodeName():
+            joins.append(node.metrics().apply("numOutputRows").value())
+    assert joins and max(joins) == 3000
+
+
+@pytest.mark.parametrize("most", [20, 2])
+def test_long_queries_and_names(spark, most):
+    """Queries of 31 to 70 characters, alike but for a few; names alike over more than a run."""
+    names = [(i, "A" * 40 + f" common part of all names {i % 7} " + "z" * (i % 3) + f"end{i:02d}") for i in range(40)] + [(40, None), (41, "a" * 32), (42, "a" * 31)]
+    queries = ["a" * 30, "a" * 31, "a" * 32, "A" * 33, "a" * 41, *(n[a : a + k] for _, n in names[:9] for a, k in ((0, 64), (38, 34), (9, 61), (0, 99), (20, 32))), names[3][1] + "x", " END07 "]
+    rows = lookup.resolve_table(spark.createDataFrame(names, "code long, name string"), spark.createDataFrame([(q,) for q in queries], "query string"), "name", "code", "code", most).collect()
+
+    def want(query):
+        q = query.strip().lower()
+        hits = sorted((0 if n.lower() == q else 1 if n.lower().startswith(q) else 2, i) for i, n in names if n is not None and q in n.lower())
+        own = [h for h in hits if h[0] == 0] or hits
+        return "unique" if len(own) == 1 else "ambiguous" if own else "not_found", own[0][1] if len(own) == 1 else None, len(own), [i for _, i in own[:most]], max(0, len(own) - most)
+
+    assert {r.query: (r.status, r.code, r.n_candidates, r.candidates, r.more) for r in rows} == {q: want(q) for q in queries}
