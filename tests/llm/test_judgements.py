@@ -136,3 +136,39 @@ def test_quality_stage_on_odd_rows(spark, sf_dir):
     kept = quality.keep_quality(odd, labels.limit(0))
     assert kept.columns == odd.columns and {r.n_words for r in kept.collect()} <= {1, 4, 5}
     assert quality.keep_quality(more, labels).count() == 0
+
+
+def test_thresholds_count_every_labelled_text_and_trees_draw_from_all(spark, sf_dir):
+    """Exact order statistics over all labelled texts, none left out; a tree's draw is the same however rows are dealt."""
+    draw = np.random.default_rng(2)
+    values = np.column_stack([draw.random(5000), np.repeat([0.25, 0.5], 2500), draw.random(5000) * 1e-3])
+    bits = spark.createDataFrame([(row.view(np.int64).tolist(),) for row in values], "bits array<long>").repartition(5)
+    for rank in (0, 2499, 2500, 4994, 4999):
+        assert np.array(quality.order_statistics(bits, 3, rank)).view(np.float64).tolist() == np.sort(values, axis=0)[rank].tolist()
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    rows = quality.measured(docs)
+    texts = quality.labelled_texts(rows, labels)
+    own = {r["__hash"]: r["__quality"] for r in texts.collect()}
+    passed = docs.join(rows.filter("n_words >= 50 and 100 * n_repeat_words <= 50 * n_words").select("doc_id"), "doc_id")
+    assert len(own) == passed.select("text").distinct().count()
+    hashes, drawn = quality.draws(texts.repartition(3), 40, 6)
+    again = quality.draws(texts.repartition(7), 40, 6)
+    assert [h.tolist() for h in hashes] == [h.tolist() for h in again[0]] and all((a == b).all() for a, b in zip(drawn, again[1]))
+    assert len({tuple(h) for h in hashes}) == 6 and all(len(set(h)) == 40 and set(h) <= set(own) for h in hashes)
+    forest = quality.IsolationForest([x[:, (0, 1)] for x in drawn])
+    told = quality.told_scores(texts, hashes, [((0, 1), forest)])
+    assert told.count() == sum(q is not None for q in own.values()) > 0
+
+
+def test_trees_have_no_say_on_what_they_drew():
+    rows = np.random.default_rng(3).standard_normal((60, 2))
+    forest = quality.IsolationForest([rows[:30], rows[20:50], rows[30:]])
+    drew = np.array([[i < 30 for i in range(60)], [20 <= i < 50 for i in range(60)], [i >= 30 for i in range(60)]])
+    got = forest.score(rows, drew)
+    lengths = []
+    for tree in forest.trees:
+        one = quality.IsolationForest([rows[:30]])
+        one.trees = [tree]
+        lengths.append(-np.log2(one.score(rows)))
+    want = 2.0 ** -np.array([np.mean([lengths[t][i] for t in range(3) if not drew[t, i]]) for i in range(60)])
+    assert np.allclose(got, want) and np.allclose(forest.score(rows, np.ones_like(drew)), forest.score(rows))
