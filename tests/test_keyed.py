@@ -82,6 +82,30 @@ def test_state_goes_when_the_watermark_has_passed(stateful, tmp_path):
     assert {r[0] for r in state.select("key.grouped").collect()} == {"b", "c"}
 
 
+def test_a_batch_asks_for_shelves_and_not_for_keys(stateful, tmp_path):
+    """400 keys on 8 shelves: the state has 8 entries at most, which hold each key's position."""
+    source, run = tmp_path / "in", lambda: keyed.run(stateful.readStream.schema(PLAIN).json(str(source)), str(tmp_path / "out"), str(tmp_path / "ck"), "k", "pos", buckets=4, shelves=8)
+    land(source, 0, [{"k": f"k{j}", "pos": j, "v": "one"} for j in range(400)])
+    run()
+    land(source, 1, [{"k": f"k{j}", "pos": 200, "v": "two"} for j in range(0, 500, 2)])
+    best = {f"k{j}": (j, "one") for j in range(400)} | {f"k{j}": (200, "two") for j in range(0, 500, 2) if j < 200 or j >= 400}
+    assert told(run()) == best
+    state = stateful.read.format("statestore").option("path", str(tmp_path / "ck")).option("stateVarName", "lead").load().select("value.*").collect()
+    assert len(state) <= 8
+    assert {k: p for r in state for k, p in zip(r["keys"], r.pos)} == {k: p for k, (p, _) in best.items()}
+    with pytest.raises(ValueError, match="other parameters"):
+        keyed.run(stateful.readStream.schema(PLAIN).json(str(source)), str(tmp_path / "out"), str(tmp_path / "ck"), "k", "pos", buckets=4, shelves=9)
+
+
+def test_keys_of_any_type_lie_on_shelves(stateful, tmp_path):
+    stream = lambda: stateful.readStream.schema("x double, pos long").json(str(tmp_path / "in")).selectExpr("named_struct('b', cast(x as string), 'a', array(x)) AS k", "x + 0D AS d", "pos")
+    land(tmp_path / "in", 0, [{"x": 1.5, "pos": 1}, {"x": "NaN", "pos": 5}, {"x": -0.0, "pos": 3}, {"x": 1.5, "pos": 0}])
+    run = lambda key: {str(r[key]): r.pos for r in keyed.run(stream().select(key, "pos"), str(tmp_path / f"out{key}"), str(tmp_path / f"ck{key}"), key, "pos", buckets=2).collect()}
+    assert list(run("k").values()).count(1) == 1 and run("d")["nan"] == 5
+    land(tmp_path / "in", 1, [{"x": "NaN", "pos": 4}, {"x": 1.5, "pos": 2}, {"x": -0.0, "pos": 2}])
+    assert sorted(run("k").values()) == [2, 3, 5] and run("d") == {"1.5": 2, "nan": 5, "0.0": 3}
+
+
 def test_the_state_store_must_hold_keyed_state(spark, tmp_path):
     spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
     with pytest.raises(ValueError, match="providerClass"):
