@@ -30,17 +30,19 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 from itertools import chain, islice
-from struct import pack
+from struct import Struct
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from .arrow import bounded_batches, pieces
+from .arrow import bounded_batches
 from .segments import mix, slices
 
 END_ID = 1
@@ -50,7 +52,7 @@ SHARD_IDS, SHARD_DOCUMENTS = 1 << 26, 1 << 20
 READ_IDS = 1 << 19
 #: Bits of a level for each key that is still there.
 ROOM = 2
-#: Words and pre-tokens whose ids a task keeps.
+#: Words and pre-tokens whose ids a worker keeps.
 CACHED = 400_000
 #: Characters that NFC leaves as they are whatever stands beside them: combining marks start here.
 PLAIN = 0x300
@@ -68,7 +70,7 @@ class Encoder:
     """The ids of texts as bytes, as the vocabulary's own library gives them for the whole text.
 
     The library's normaliser and pre-tokenizer drop white space and join nothing over it, so a text's ids are those of its
-    words at ASCII white space. A word's ids are kept; so are those of the pre-tokens that words consist of. Characters
+    words at ASCII white space. A word's ids are kept, from task to task; so are those of the pre-tokens that words consist of. Characters
     below ``PLAIN``, of which none combines with another, are normalised one by one, as the library does each, and
     pre-tokens of these go straight to the library's BPE model. All other words, and all words of a vocabulary with other
     steps than ``STEPS``, go through the library whole.
@@ -81,7 +83,8 @@ class Encoder:
 
         self._tokenizer, self._most = Tokenizer.from_file(json_path), cached
         self.width = 2 if self._tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        self._known: dict[bytes, bytes] = {}
+        self._known: dict[bytes, bytes] = {b"": b""}
+        self._packers = [Struct(f"<{n}{'H' if self.width == 2 else 'I'}").pack for n in range(64)]
         self._parts: dict[str, bytes] = {}
         with open(json_path, encoding="utf-8") as f:
             steps = json.load(f)
@@ -99,14 +102,26 @@ class Encoder:
                 self._split = regex.compile(splits[0]).findall
 
     def __call__(self, text: str | None) -> bytes:
-        words = (text or "").encode().split()
-        new = set(words).difference(self._known)
+        return self.each(pa.array([text], pa.string()))[0]
+
+    def each(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text of a column (null: none). Arrow cuts and numbers the words, so that each different word is looked up once."""
+        words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        coded = words.flatten().dictionary_encode()
+        if not len(coded):
+            return [b""] * len(texts)
+        different = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()  # much faster than to_pylist
+        new = set(different).difference(self._known)
         if new:
             if len(self._known) + len(new) > self._most:
-                self._known = dict(islice(self._known.items(), self._most // 2))  # those that came first are the frequent ones
-                new = set(words).difference(self._known)
-            self._learn(list(new))
-        return b"".join(map(self._known.__getitem__, words))
+                self._known = {b"": b""} | dict(islice(self._known.items(), self._most // 2))  # those that came first are the frequent ones
+                new = set(different).difference(self._known)
+            self._learn([w for w in different if w in new])
+        ids = pa.array([self._known[w] for w in different], pa.large_binary()).take(coded.indices)
+        _, ends, raw = ids.buffers()
+        at = np.frombuffer(ends, "<i8", len(ids) + 1)[words.offsets.to_numpy() - words.offsets[0].as_py()].tolist()
+        raw = raw.to_pybytes() if raw else b""
+        return [raw[a:b] for a, b in zip(at, at[1:])]
 
     def _learn(self, new: list[bytes]) -> None:
         if self._plain is None:
@@ -114,19 +129,21 @@ class Encoder:
         joined = b" ".join(new).decode()
         if not self._simple(joined):
             texts = [w.decode() for w in new]
-            self._learn_whole([t for t in texts if not self._simple(t)])
-            texts = [t for t in texts if self._simple(t)]
+            simple = [self._simple(t) for t in texts]
+            self._learn_whole([t for t, x in zip(texts, simple) if not x])
+            texts = [t for t, x in zip(texts, simple) if x]
             new, joined = [t.encode() for t in texts], " ".join(texts)
             if not new:
                 return
         if len(self._parts) > self._most:
             self._parts = dict(islice(self._parts.items(), self._most // 2))
-        parts, known = self._parts, self._known
+        parts, known, packers = self._parts, self._known, self._packers
         cut = [self._cut(w) for w in joined.translate(self._lower).split(" ")]
-        model, kind = self._tokenizer.model, "H" if self.width == 2 else "I"
-        for part in set(chain.from_iterable(cut)).difference(parts):
-            made = model.tokenize(part.translate(self._bytes))
-            parts[part] = pack(f"<{len(made)}{kind}", *[t.id for t in made])
+        fresh = list(set(chain.from_iterable(cut)).difference(parts))
+        tokenize = self._tokenizer.model.tokenize
+        for part, bytewise in zip(fresh, " ".join(fresh).translate(self._bytes).split(" ")):
+            made = [t.id for t in tokenize(bytewise)]
+            parts[part] = packers[len(made)](*made) if len(made) < len(packers) else np.array(made, f"<u{self.width}").tobytes()
         for word, own in zip(new, cut):
             known[word] = parts[own[0]] if len(own) == 1 else b"".join([parts[x] for x in own])
 
@@ -146,6 +163,12 @@ class Encoder:
             self._known[text.encode()] = np.array(made.ids, f"<u{self.width}").tobytes()
 
 
+@lru_cache(1)
+def encoder(json_path: str) -> Encoder:
+    """A worker's own: the words that it has met serve its next tasks, too."""
+    return Encoder(json_path)
+
+
 def hashed(keys: np.ndarray, level: int) -> np.ndarray:
     return mix(keys.astype(np.int64).view(np.uint64) + np.uint64((2 * level + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
 
@@ -295,13 +318,14 @@ def write_ids(docs: DataFrame, folder: str, json_path: str, end_id: int = END_ID
     schema = pa.schema([("name", pa.string()), *((n, pa.int64()) for n in ("documents", "keys", "ids", "first", "last"))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, task = Encoder(json_path), TaskContext.get()
+        encode, task = encoder(json_path), TaskContext.get()
         writer = ShardWriter(posixpath.join(folder, "shards"), encode.width, end_id, shard_ids, f"{task.partitionId():06d}-{uuid.uuid4().hex[:8]}")
-        for batch, texts in pieces(batches, "text"):
-            for doc, text in zip(batch.column(0).to_pylist(), texts):
-                writer.add(doc, encode(text))
+        for batch in batches:
+            for doc, ids in zip(batch.column(0).to_pylist(), encode.each(batch.column(1))):
+                writer.add(doc, ids)
                 if writer.full:
                     yield _batch(list(writer.close()), schema)
+        pa.default_memory_pool().release_unused()  # the worker may stay idle from here on
         if rows := list(writer.close()):
             yield _batch(rows, schema)
 

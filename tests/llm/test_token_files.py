@@ -2,6 +2,7 @@ import zlib
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -40,6 +41,26 @@ def test_encoder_equals_the_library(text):
     assert np.frombuffer(encode(text), f"<u{encode.width}").tolist() == whole(text)[:-1]
 
 
+@pytest.mark.parametrize("cached", [1, 3, T.CACHED])
+def test_columns_of_texts_equal_the_library(cached):
+    texts = pa.array(["cut", " a b\n", None, "", "  ", "İstanbul <|endoftext|> e\u0301", "a b a\xa0b " * 30, "x" * 300, "\tlast\x1c"]).slice(1)
+    made = T.Encoder(JSON, cached=cached).each(texts)
+    assert [np.frombuffer(x, "<u2").tolist() for x in made] == [whole(t)[:-1] for t in texts.to_pylist()]
+    assert T.Encoder(JSON).each(texts.slice(1, 3)) == [b""] * 3
+
+
+def test_tasks_of_a_worker_share_the_words_they_met(spark):
+    def known(batches):
+        encode = T.encoder(JSON)
+        before = len(encode._known)
+        for batch in batches:
+            encode.each(pa.array([f"word{x}" for x in batch.column(0).to_pylist()]))
+        yield pa.RecordBatch.from_arrays([pa.array([before])], ["before"])
+
+    rows = spark.range(0, 64, 1, 64).mapInArrow(known, "before long").collect()
+    assert sum(r.before > 1 for r in rows) > 30
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.sets(st.integers(-(1 << 63), (1 << 63) - 1)), st.integers(0, 3000))
 def test_hash_is_minimal_and_perfect(some, more):
