@@ -64,8 +64,14 @@ def contract(edges: DataFrame) -> DataFrame:
     return edges.select("u", "v").filter("u <> v").mapInArrow(run, "u long, v long")
 
 
+def _both_ways(edges: DataFrame) -> DataFrame:
+    """Each edge and its reverse, in one reading of the edges."""
+    pair = lambda a, b: F.struct(F.col(a).alias("u"), F.col(b).alias("v"))
+    return edges.select(F.explode(F.array(pair("u", "v"), pair("v", "u"))).alias("x")).select("x.u", "x.v")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    both = _both_ways(edges)
     least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
     return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
@@ -79,30 +85,47 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 def _open(edges: DataFrame) -> bool:
     """Whether some vertex points at two others, or at one that points further."""
-    ends = edges.select("u", F.lit(1).alias("out"), F.lit(0).alias("hit")).unionByName(edges.select(F.col("v").alias("u"), F.lit(0).alias("out"), F.lit(1).alias("hit")))
-    return not ends.groupBy("u").agg(F.sum("out").alias("out"), F.max("hit").alias("hit")).filter("out > 1 or (out = 1 and hit = 1)").isEmpty()
+    ends = _both_ways(edges).groupBy("u").agg(F.count_if(F.col("v") < F.col("u")).alias("out"), F.max(F.col("v") > F.col("u")).alias("hit"))
+    return not ends.filter("out > 1 or (out = 1 and hit)").isEmpty()
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(vertex, component) for every vertex of the edges (u, v); the component is its smallest vertex.
+def trees(edges: DataFrame) -> DataFrame:
+    """(vertex, component) for every vertex of the edges (u, v) that is not the smallest of its component, which is what
+    the component is; written once.
 
-    Loops, repeated edges and edges with a null are allowed; a vertex with loops only is not in the result. The edges
-    are read once.
+    Loops, repeated edges and edges with a null are allowed. The edges are read once.
     """
     edges = cut_lineage(contract(edges))
     for _ in range(MOST_STEPS):
         if not _open(edges):
-            return edges.select(F.col("u").alias("vertex"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("vertex"), F.col("v").alias("component")).distinct())
+            return edges.select(F.col("u").alias("vertex"), F.col("v").alias("component"))
         edges = cut_lineage(contract(_small_star(_large_star(edges)).repartition("u")))
     raise RuntimeError(f"no fixed point after {MOST_STEPS} steps")
 
 
-def further(classes: DataFrame, links: DataFrame) -> DataFrame:
-    """The classes (vertex, component) after more links (u, v): only the classes that the links join are worked on."""
+def more_trees(grown: DataFrame, links: DataFrame) -> DataFrame:
+    """The ``trees`` (vertex, component) after more links (u, v): only the components that the links join are worked on."""
     of = lambda side: F.coalesce(f"of_{side}", side).alias(side)
-    named = lambda side: classes.select(F.col("vertex").alias(side), F.col("component").alias(f"of_{side}"))
-    joined = components(links.join(named("u"), "u", "left").join(named("v"), "v", "left").select(of("u"), of("v")))
+    named = lambda side: grown.select(F.col("vertex").alias(side), F.col("component").alias(f"of_{side}"))
+    joined = trees(links.join(named("u"), "u", "left").join(named("v"), "v", "left").select(of("u"), of("v")))
     moved = joined.select(F.col("vertex").alias("component"), F.col("component").alias("__to"))
-    kept = classes.join(moved, "component", "left").select("vertex", F.coalesce("__to", "component").alias("component"))
-    fresh = joined.join(classes.select("vertex"), "vertex", "left_anti")
-    return cut_lineage(kept.unionByName(fresh))
+    kept = grown.join(moved, "component", "left").select("vertex", F.coalesce("__to", "component").alias("component"))
+    return cut_lineage(kept.unionByName(joined))  # what moved was the smallest of its component: no vertex of ``grown``
+
+
+def _with_smallest(grown: DataFrame) -> DataFrame:
+    return grown.unionByName(grown.select(F.col("component").alias("vertex"), "component").distinct())
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(vertex, component) for every vertex of the edges (u, v); the component is its smallest vertex.
+
+    Loops, repeated edges and edges with a null are allowed; a vertex with loops only is not in the result. The edges
+    are read once.
+    """
+    return _with_smallest(trees(edges))
+
+
+def further(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """The classes (vertex, component) after more links (u, v): only the classes that the links join are worked on."""
+    return _with_smallest(more_trees(classes.filter("vertex <> component"), links))

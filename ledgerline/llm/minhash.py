@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from .arrow import annotate, grouped
 from .columns import by_place, unused
-from .components import components, further
+from .components import more_trees, trees
 from .segments import code_points, hashes, mix, words
 
 WINDOW = 5
@@ -362,7 +362,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     several = rows.filter("id is not null").groupBy("id").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).filter("a <> b").select("id")
     repeated = rows.join(several, "id", "left_semi").select(F.col("id").alias("u"), "digest").join(copies, "digest").select("u", F.col("rep").alias("v"))
     leads = members.filter("id <> leader").select(F.col("leader").alias("u"), F.col("id").alias("v")).distinct()
-    classes = components(_links(leads, sequences).unionByName(repeated))
+    classes = trees(_links(leads, sequences).unionByName(repeated))
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -373,14 +373,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not mixed.isEmpty():
         marks = cut_lineage(sequences.join(mixed.select("id").distinct(), "id", "left_semi").select("id", "items").mapInArrow(marked, "id long, size long, mark binary"))
         found = cut_lineage(_across(mixed, marks, block, closest))
-        classes = further(classes, _links(found.select("u", "v").distinct(), sequences))
+        classes = more_trees(classes, _links(found.select("u", "v").distinct(), sequences))
         now = lambda side: classes.select(F.col("vertex").alias(side), F.col("component").alias(f"to_{side}"))
         told = found.filter("more").select("p", "q").distinct().join(now("p"), "p", "left").join(now("q"), "q", "left")
         left = cut_lineage(told.select(F.coalesce("to_p", "p").alias("p"), F.coalesce("to_q", "q").alias("q")).filter("p <> q").select(F.explode(F.array("p", "q")).alias("of")).distinct())
         if not left.isEmpty():
-            again = _mixed(members, classes).join(left, "of", "left_semi")
+            again = cut_lineage(_mixed(members, classes).join(left, "of", "left_semi"))  # else made twice, for both sides of the blocks
             rest = _across(again, marks, block, None)
-            classes = further(classes, _links(rest.select("u", "v").distinct(), sequences))
+            classes = more_trees(classes, _links(rest.select("u", "v").distinct(), sequences))
 
     named = copies.join(classes, copies["rep"] == classes["vertex"], "left").select("digest", F.coalesce("component", "rep").alias("class_id"))
     judged = rows.select("id", "digest").join(named, "digest").select("id", "class_id")

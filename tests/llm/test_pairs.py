@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.llm import embeddings, minhash
-from ledgerline.llm.components import components, further, local_components
+from ledgerline.llm.components import _large_star, _open, _small_star, components, further, local_components, more_trees, trees
 
 
 @contextlib.contextmanager
@@ -42,6 +42,22 @@ def test_components_whatever_the_partitions(spark, n):
         assert {r.vertex: r.component for r in both.collect()} == want
 
 
+def test_a_step_reads_its_edges_once_a_shuffle(spark):
+    edges = spark.createDataFrame([(i + 1, i) for i in range(40)], "u long, v long")
+    with partitions(spark, 5):
+        step = _small_star(_large_star(edges))
+        plan = step._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Union") <= 1
+        assert _open(edges) and not _open(spark.createDataFrame([(3, 1), (2, 1), (9, 8)], "u long, v long"))
+
+
+def test_trees_leave_out_the_smallest(spark):
+    first = trees(spark.createDataFrame([(1, 2), (3, 2), (7, 8), (5, 5), (None, 1)], "u long, v long"))
+    assert {tuple(r) for r in first.collect()} == {(2, 1), (3, 1), (8, 7)}
+    more = more_trees(first, spark.createDataFrame([(8, 3), (7, 0), (20, 21)], "u long, v long"))
+    assert {tuple(r) for r in more.collect()} == {(1, 0), (2, 0), (3, 0), (7, 0), (8, 0), (21, 20)}
+
+
 # op7
 
 
